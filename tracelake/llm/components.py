@@ -29,7 +29,7 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     stars until the edges stop changing, which takes rounds in the order of the logarithm of the graph's size; each round
     is checkpointed. Raises RuntimeError if most_rounds don't suffice.
     """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
     for _ in range(most_rounds):
         edges = cut(_star(_star(edges, True).distinct(), False).distinct())
