@@ -4,11 +4,12 @@ A window is LENGTH consecutive words. Its key is the leftmost least hash among t
 with one word sequence have one key, and a key stands for up to LENGTH - GRAM + 1 neighbouring windows. Counting the
 places where keys are chosen therefore overestimates how often any window with that key occurs.
 
-1. Every partition counts its keys in a count-min sketch; the sketches are merged by an exchange on blocks of cells.
-   Counters stop at two, as only "more than once" is asked of them.
+1. Every partition counts its keys in a count-min sketch; the sketches are merged by an exchange on blocks of cells. It is
+   asked of counters only whether they are above one, and whether they are high (about HOT or more).
 2. A second pass keeps only the windows whose key is estimated repeated, and groups those exactly by key and window hash
    (64 bits each). Windows that recur within one batch are settled there, so a passage that a third of all documents share
-   reaches its group at most once per batch.
+   reaches its group at most once per batch. Windows of a key with a high count are dealt out one by one, by their own
+   hash, as those that lead into such a passage differ from each other, but share its keys.
 3. The repeated windows' words are removed from each document.
 """
 
@@ -29,6 +30,8 @@ LENGTH, GRAM = 35, 8
 #: Rows of the sketch; log2 of the cells in each row; cells in a block. 3 rows of 2**25 cells take 12 MB where broadcast.
 #: The size is fixed, which bounds the broadcast: more data make more false alarms for the second pass, and lose nothing.
 DEPTH, LOG_CELLS, BLOCK_CELLS = 3, 25, 1 << 19
+#: A key counted so often in one partition, or in so many partitions, counts as hot.
+HOT = 64
 _SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -56,30 +59,29 @@ def _windows(words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _sketched(length: int):
+    """One sketch for each partition: for each block of cells, which are at least 1, at least 2 and at least HOT."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = (np.zeros((DEPTH, 1 << LOG_CELLS >> 3), np.uint8) for _ in range(2))
+        counts = np.zeros((DEPTH, 1 << LOG_CELLS), np.uint8)
         some = False
         for piece in pieces(batches):
             words = Words(piece.column("text"))
             _, gram_at, grams = _windows(words, length)
-            keys = grams[gram_at[np.diff(gram_at, prepend=-1) != 0]] if len(gram_at) else grams[:0]
-            for row in range(DEPTH if len(keys) else 0):
-                some = True
-                cells = np.sort(_cells(keys, row))
-                again = np.unique(cells[1:][cells[1:] == cells[:-1]])
-                cells = np.unique(cells)
-                byte, bit = cells >> 3, (1 << (cells & 7)).astype(np.uint8)
-                known = cells[(once[row, byte] & bit) != 0]
-                np.bitwise_or.at(once[row], byte, bit)
-                for more in (known, again):
-                    np.bitwise_or.at(twice[row], more >> 3, (1 << (more & 7)).astype(np.uint8))
+            if not len(gram_at):
+                continue
+            some = True
+            keys, repeats = np.unique(grams[gram_at[np.diff(gram_at, prepend=-1) != 0]], return_counts=True)
+            for row in range(DEPTH):
+                cells, inverse = np.unique(_cells(keys, row), return_inverse=True)
+                total = counts[row, cells] + np.bincount(inverse, weights=repeats)
+                counts[row, cells] = np.minimum(total, HOT)
         if some:
-            size = BLOCK_CELLS >> 3
             for row in range(DEPTH):
                 for block in range((1 << LOG_CELLS) // BLOCK_CELLS):
-                    part = slice(block * size, (block + 1) * size)
-                    if once[row, part].any():
-                        yield pa.RecordBatch.from_pydict({"block": pa.array([row << 16 | block], pa.int32()), "once": [_packed(once[row, part])], "twice": [_packed(twice[row, part])]})
+                    part = counts[row, block * BLOCK_CELLS : (block + 1) * BLOCK_CELLS]
+                    if part.any():
+                        levels = [_packed(np.packbits(part >= least, bitorder="little")) for least in (1, 2, HOT)]
+                        yield pa.RecordBatch.from_pydict({"block": pa.array([row << 16 | block], pa.int32()), "once": [levels[0]], "twice": [levels[1]], "hot": [levels[2]]})
 
     return run
 
@@ -94,28 +96,36 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Add up sketches block by block; a task holds the blocks dealt to it, however many sketches come."""
-    held: dict[int, list[np.ndarray]] = {}
+    held: dict[int, np.ndarray] = {}
     for batch in batches:
-        for block, once, twice in zip(batch.column("block").to_pylist(), batch.column("once"), batch.column("twice")):
-            once, twice = (_unpacked(x.as_py()) for x in (once, twice))
-            if block in held:
-                mine = held[block]
-                held[block] = [mine[0] | once, mine[1] | twice | (mine[0] & once)]
-            else:
-                held[block] = [once, twice]
-    for block, (_, twice) in held.items():
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "twice": [twice.tobytes()]})
+        for block, *levels in zip(batch.column("block").to_pylist(), *(batch.column(c) for c in ("once", "twice", "hot"))):
+            once, twice, hot = (np.unpackbits(_unpacked(x.as_py()), bitorder="little") for x in levels)
+            total = held.get(block, np.zeros(BLOCK_CELLS, np.uint8)) + once + twice
+            held[block] = np.where(hot > 0, HOT, np.minimum(total, HOT)).astype(np.uint8)
+    for block, counts in held.items():
+        twice, hot = (np.packbits(counts >= least, bitorder="little").tobytes() for least in (2, HOT))
+        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "twice": [twice], "hot": [hot]})
 
 
 def sketch(docs: DataFrame, length: int = LENGTH) -> np.ndarray:
-    """One bit per cell of the merged sketch of all texts: whether the cell's count is two or more. Its size is fixed."""
-    parts = map_arrow(docs.select("text"), _sketched(length), "block int, once binary, twice binary")
-    blocks = DEPTH * (1 << LOG_CELLS) // BLOCK_CELLS
-    merged = map_arrow(parts.repartition(min(blocks, 48), "block"), _merged, "block int, twice binary")
-    bits = np.zeros((DEPTH, (1 << LOG_CELLS) // BLOCK_CELLS, BLOCK_CELLS >> 3), np.uint8)
-    for x in merged.collect():
-        bits[x.block >> 16, x.block & 0xFFFF] = np.frombuffer(x.twice, np.uint8)
-    return bits.reshape(DEPTH, -1)
+    """For each cell of the merged sketch of all texts, a bit for a count of two or more, and one for HOT. Its size is fixed."""
+    parts = map_arrow(docs.select("text"), _sketched(length), "block int, once binary, twice binary, hot binary")
+    blocks = (1 << LOG_CELLS) // BLOCK_CELLS
+    merged = map_arrow(parts.repartition(min(DEPTH * blocks, 48), "block"), _merged, "block int, twice binary, hot binary")
+    bits = np.zeros((2, DEPTH, blocks, BLOCK_CELLS >> 3), np.uint8)
+    for x in merged.toLocalIterator():
+        bits[0, x.block >> 16, x.block & 0xFFFF] = np.frombuffer(x.twice, np.uint8)
+        bits[1, x.block >> 16, x.block & 0xFFFF] = np.frombuffer(x.hot, np.uint8)
+    return bits.reshape(2, DEPTH, -1)
+
+
+def _counted(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether all of a key's cells have their bit."""
+    found = np.ones(len(keys), bool)
+    for row in range(DEPTH):
+        cells = _cells(keys, row)
+        found &= (bits[row, cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
+    return found
 
 
 def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -141,15 +151,16 @@ def _suspects(length: int, shared):
                 continue
             fresh = np.diff(gram_at, prepend=-1) != 0
             keys = grams[gram_at[fresh]]
-            likely = np.ones(len(keys), bool)
-            for row in range(DEPTH):
-                cells = _cells(keys, row)
-                likely &= (bits[row, cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
+            likely = _counted(bits[0], keys)
             runs, lengths, keys = np.flatnonzero(fresh)[likely], np.diff(np.flatnonzero(fresh), append=len(at))[likely], keys[likely]
             if not len(runs):
                 continue
+            window, of = _ragged(runs, lengths), np.repeat(np.arange(len(runs)), lengths)
+            hashes, hot = words.grams(length)[0][window], _counted(bits[1], keys)
+            starts = np.flatnonzero((np.diff(of, prepend=-1) != 0) | hot[of])
+            keys = np.where(hot[of[starts]], mixed(keys[of[starts]] ^ hashes[starts]), keys[of[starts]])
+            runs, lengths = window[starts], np.diff(starts, append=len(window))
             of = np.repeat(np.arange(len(runs)), lengths)
-            hashes = words.grams(length)[0][_ragged(runs, lengths)]
             _, first, inverse, counts = np.unique(hashes ^ (keys[of] * _SALTS[0]), return_index=True, return_inverse=True, return_counts=True)
             known = counts[inverse] > 1
             told = np.zeros(len(hashes), bool)
