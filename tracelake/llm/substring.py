@@ -62,26 +62,25 @@ def _sketched(length: int):
     """One sketch for each partition: for each block of cells, which are at least 1, at least 2 and at least HOT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((DEPTH, 1 << LOG_CELLS), np.uint8)
-        some = False
+        found = [np.zeros(0, np.uint64)]
         for piece in pieces(batches):
             words = Words(piece.column("text"))
             _, gram_at, grams = _windows(words, length)
-            if not len(gram_at):
-                continue
-            some = True
-            keys, repeats = np.unique(grams[gram_at[np.diff(gram_at, prepend=-1) != 0]], return_counts=True)
-            for row in range(DEPTH):
-                cells, inverse = np.unique(_cells(keys, row), return_inverse=True)
-                total = counts[row, cells] + np.bincount(inverse, weights=repeats)
-                counts[row, cells] = np.minimum(total, HOT)
-        if some:
-            for row in range(DEPTH):
-                for block in range((1 << LOG_CELLS) // BLOCK_CELLS):
-                    part = counts[row, block * BLOCK_CELLS : (block + 1) * BLOCK_CELLS]
-                    if part.any():
-                        levels = [_packed(np.packbits(part >= least, bitorder="little")) for least in (1, 2, HOT)]
-                        yield pa.RecordBatch.from_pydict({"block": pa.array([row << 16 | block], pa.int32()), "once": [levels[0]], "twice": [levels[1]], "hot": [levels[2]]})
+            if len(gram_at):
+                found.append(grams[gram_at[np.diff(gram_at, prepend=-1) != 0]])
+        keys, repeats = np.unique(np.concatenate(found), return_counts=True)
+        for row in range(DEPTH if len(keys) else 0):
+            cells, inverse = np.unique(_cells(keys, row), return_inverse=True)
+            counts = np.bincount(inverse, weights=repeats)
+            edges = np.searchsorted(cells, np.arange(0, (1 << LOG_CELLS) + 1, BLOCK_CELLS))
+            for block, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+                if i < j:
+                    levels = []
+                    for least in (1, 2, HOT):
+                        bits = np.zeros(BLOCK_CELLS, bool)
+                        bits[cells[i:j][counts[i:j] >= least] - block * BLOCK_CELLS] = True
+                        levels.append(_packed(np.packbits(bits, bitorder="little")))
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([row << 16 | block], pa.int32()), "once": [levels[0]], "twice": [levels[1]], "hot": [levels[2]]})
 
     return run
 
@@ -95,16 +94,26 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add up sketches block by block; a task holds the blocks dealt to it, however many sketches come."""
-    held: dict[int, np.ndarray] = {}
+    """Add up sketches block by block; a task holds the blocks dealt to it, however many sketches come.
+
+    In how many sketches a cell is set is counted bitwise, in one bit map for each binary digit.
+    """
+    digits = HOT.bit_length() - 1
+    held: dict[int, list[np.ndarray]] = {}
     for batch in batches:
         for block, *levels in zip(batch.column("block").to_pylist(), *(batch.column(c) for c in ("once", "twice", "hot"))):
-            once, twice, hot = (np.unpackbits(_unpacked(x.as_py()), bitorder="little") for x in levels)
-            total = held.get(block, np.zeros(BLOCK_CELLS, np.uint8)) + once + twice
-            held[block] = np.where(hot > 0, HOT, np.minimum(total, HOT)).astype(np.uint8)
-    for block, counts in held.items():
-        twice, hot = (np.packbits(counts >= least, bitorder="little").tobytes() for least in (2, HOT))
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "twice": [twice], "hot": [hot]})
+            once, twice, hot = (_unpacked(x.as_py()) for x in levels)
+            if block not in held:
+                held[block] = [np.zeros_like(once) for _ in range(digits + 3)]
+            mine = held[block]
+            mine[1] = mine[1] | twice | (mine[0] & once)
+            mine[0] = mine[0] | once
+            carry = once
+            for i in range(3, digits + 3):
+                mine[i], carry = mine[i] ^ carry, mine[i] & carry
+            mine[2] = mine[2] | hot | carry
+    for block, (_, twice, hot, *_) in held.items():
+        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "twice": [twice.tobytes()], "hot": [hot.tobytes()]})
 
 
 def sketch(docs: DataFrame, length: int = LENGTH) -> np.ndarray:
