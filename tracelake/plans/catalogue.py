@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from tracelake.plans import signal_queries, table_queries
+
+QUERIES: dict = signal_queries.QUERIES | table_queries.QUERIES
+ORACLE: dict = signal_queries.ORACLE | table_queries.ORACLE
