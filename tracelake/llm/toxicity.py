@@ -20,7 +20,7 @@ from tracelake.llm.common import SPACES, Rolling, held_out, joined, lookup, mixe
 LOG_BUCKETS = 18
 #: A word counts by itself and by its beginnings of so many bytes (a shorter word by itself in their place).
 PREFIXES = (4, 5, 6)
-#: Bound of the training sample: texts, and words taken from each of them.
+#: Bound of the training sample: texts, and words taken from each of them; a longer text gives every n-th of its sentences.
 TRAIN_TEXTS, TRAIN_WORDS = 8000, 3000
 #: A bucket has to occur in so many texts of the sample to get a weight.
 LEAST_TEXTS = 6
@@ -52,8 +52,20 @@ def _training_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     for piece in pieces(batches):
         words, sentence, row, _ = features(piece.column("text"))
         at = np.searchsorted(row[sentence], np.arange(piece.num_rows + 1)) if len(words) else np.zeros(piece.num_rows + 1, int)
-        own = [slice(at[i], min(at[i + 1], at[i] + TRAIN_WORDS)) for i in range(piece.num_rows)]
-        yield pa.RecordBatch.from_pydict({"y": piece.column("y"), "ids": pa.array([words[s].ravel() for s in own], pa.list_(pa.int32())), "of": pa.array([(sentence[s] - (sentence[s][0] if s.stop > s.start else 0)).astype(np.int32) for s in own], pa.list_(pa.int32()))})
+        own = [_spread(sentence[at[i] : at[i + 1]]) for i in range(piece.num_rows)]
+        ids = [words[at[i] + chosen].ravel() for i, (chosen, _) in enumerate(own)]
+        yield pa.RecordBatch.from_pydict({"y": piece.column("y"), "ids": pa.array(ids, pa.list_(pa.int32())), "of": pa.array([of for _, of in own], pa.list_(pa.int32()))})
+
+
+def _spread(sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words of a text to learn from, TRAIN_WORDS at most and from its whole length, and the sentence of each (from 0)."""
+    if not len(sentence):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    step = -(-len(sentence) // TRAIN_WORDS)
+    local = sentence - sentence[0]
+    chosen = np.flatnonzero(local % step == 0)
+    chosen = chosen[:: -(-len(chosen) // TRAIN_WORDS)]
+    return chosen, (local[chosen] // step).astype(np.int32)
 
 
 @dataclass
