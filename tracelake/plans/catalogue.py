@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tracelake.plans import signal_queries, table_queries
+from tracelake.plans import model_queries, signal_queries, table_queries
 
-QUERIES: dict = signal_queries.QUERIES | table_queries.QUERIES
-ORACLE: dict = signal_queries.ORACLE | table_queries.ORACLE
+QUERIES: dict = signal_queries.QUERIES | table_queries.QUERIES | model_queries.QUERIES
+ORACLE: dict = signal_queries.ORACLE | table_queries.ORACLE | model_queries.ORACLE
