@@ -3,13 +3,14 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from brute import components, fingerprint, lowered, without_repeats, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tracelake.llm import decontam, htmltext, mixing, packing, quality, rules, simhash, substring, toxicity, urlfilter
+from tracelake.llm import decontam, htmltext, mixing, packing, quality, queries, rules, simhash, substring, toxicity, urlfilter
 from tracelake.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -145,6 +146,20 @@ def test_rules(docs, rows, spark, empty):
     assert rules.judged(empty, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
 
 
+@pytest.mark.parametrize("limit", [rules.LIMIT, 0.4])
+def test_rules_match_sql(spark, limit):
+    db = duckdb.connect()
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    for t in ("documents", "labels"):
+        db.execute(f"create view {t} as select * from '/root/testdata/sf0.01/{t}.parquet'")
+    want = db.execute(queries.rules_sql(limit))
+    columns = [d[0] for d in want.description]
+    rows = rules.judged(docs, labels, limit=limit).withColumn("rejected_by", F.array_join("rejected_by", ","))
+    assert columns == rows.columns
+    got = sorted(map(tuple, rows.collect()))
+    assert got == sorted(want.fetchall()) and (limit == rules.LIMIT or len({r[-1] for r in got}) > 3)
+
+
 def test_binomial_tail(spark):
     from math import comb
 

@@ -25,7 +25,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    rows = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.withColumn("rejected_by", F.array_join("rejected_by", ","))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +65,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def rules_sql(limit: float = rules.LIMIT, delta: float = rules.DELTA) -> str:
+    """SQL of op4_quality_rules, with the binomial bounds from log-gamma terms."""
+    grid = ", ".join(f"('{m}', {float(c)}::DOUBLE)" for m, cuts in rules.GRID.items() for c in cuts)
+    tests = sum(map(len, rules.GRID.values()))
+    p = limit / len(rules.GRID)
+    term = f"exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}::DOUBLE) + (n - i) * ln(1 - {p}::DOUBLE))"
+    value = " ".join(f"WHEN '{m}' THEN {m}" for m in rules.GRID)
+    named = ", ".join(f"CASE WHEN {m} > (SELECT min(c) FROM cuts WHERE cuts.stratum = f.stratum AND cuts.m = '{m}') THEN '{m}' END" for m in rules.GRID)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '(null)') AS stratum, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, {_WORDS.format("t")} AS w FROM d),
+tri AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM tri) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 3)) AS k) GROUP BY 1),
+n AS (SELECT d.doc_id, d.stratum, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
+  (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+  length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_upper
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d) d JOIN w USING (r) LEFT JOIN rep USING (r)),
+f AS (SELECT *, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed,
+  coalesce(n_symbols / word_chars, 0) AS symbol_share, 100 * coalesce(n_dup_lines / n_words, 0) AS dup_lines_per_100_words,
+  coalesce(n_repeat_words / n_words, 0) AS repeat_share, coalesce(word_chars / n_words, 0) AS mean_word, coalesce(n_upper / word_chars, 0) AS upper_share FROM n),
+good AS (SELECT * FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+counts AS (SELECT stratum, m, c, count(*) AS n, count(*) FILTER (WHERE CASE m {value} END > c) AS k FROM good, (VALUES {grid}) AS g(m, c) GROUP BY ALL),
+tails AS (SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: {term})) AS tail FROM counts),
+cuts AS (SELECT stratum, m, c FROM tails WHERE tail < {delta} / ((SELECT count(DISTINCT stratum) FROM good) * {tests}))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rejected_by = '' AS kept, rejected_by
+FROM (SELECT *, array_to_string(list_filter([{named}], lambda x: x IS NOT NULL), ',') AS rejected_by FROM f)"""
+
+
 ORACLE = {
+    "op4_quality_rules": rules_sql(),
     "op1_decontamination": f"""
 WITH d AS (SELECT DISTINCT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents WHERE text IS NOT NULL),
 b AS (SELECT DISTINCT item_id, {_WORDS.format(_LOWER)} AS w FROM benchmark WHERE text IS NOT NULL),
