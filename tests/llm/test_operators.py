@@ -10,7 +10,7 @@ from brute import components, fingerprint, lowered, without_repeats, words
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tracelake.llm import decontam, htmltext, mixing, packing, quality, queries, rules, simhash, substring, toxicity, urlfilter
+from tracelake.llm import decontam, htmltext, jaccard, mixing, packing, quality, queries, rules, simhash, substring, toxicity, urlfilter
 from tracelake.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -76,6 +76,57 @@ def test_anchors_lose_no_pair():
     assert len(home) == 300 and all(home[i] in guest[row == i] for i in range(300))
 
 
+def _jaccard_roots(texts):
+    """For each text, the least index that it reaches by links of five-word Jaccard similarity 0.8 or more, by brute force."""
+    sets, root = [], list(range(len(texts)))
+    for t in texts:
+        w = words(lowered(t))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    holders = {}
+    for i, s in enumerate(sets):
+        for x in s or [()]:
+            holders.setdefault(x, []).append(i)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, s in enumerate(sets):
+        for j in {j for x in s or [()] for j in holders[x] if j < i}:
+            if 5 * len(s & sets[j]) >= 4 * len(s | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def test_jaccard_finds_every_pair(spark, docs, empty):
+    rng = random.Random(5)
+    base = [rng.choices([f"w{i}" for i in range(400)], k=rng.randint(40, 160)) for _ in range(30)]
+    near = []
+    for b in base:
+        for _ in range(6):
+            c = list(b)
+            for _ in range(rng.randint(0, max(1, len(b) // 50))):
+                c[rng.randrange(len(c))] = "changed" + str(rng.random())
+            near.append(c + ["the", "same", "closing", "line", "everywhere", "again"])
+    table = [(i, " ".join(w)) for i, w in enumerate(near)] + [(1000, None), (1001, " "), (1002, "one two"), (1003, "One  two")]
+    table += [(2000 + r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    roots = _jaccard_roots([t for _, t in table])
+    want = {i: table[r][0] for (i, _), r in zip(table, roots)}
+    got = jaccard.components(spark.createDataFrame(table, "doc_id long, text string").repartition(7)).collect()
+    least = {}
+    for r in got:
+        least[r.root] = min(r.doc_id, least.get(r.root, r.doc_id))
+    assert {r.doc_id: least[r.root] for r in got} == want and len(set(roots)) < len({t for _, t in table})
+    full = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = corpus_pipeline.near_duplicate_stage(spark, full, "")
+    assert kept.columns == corpus_pipeline.COLUMNS and kept.count() == len(set(_jaccard_roots([r.text for r in full.collect()])))
+    few = jaccard.keep_one_of_each(docs)
+    assert few.columns == docs.columns and few.count() == len(set(_jaccard_roots([r.text for r in docs.collect()])))
+    assert jaccard.keep_one_of_each(empty).count() == 0
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 50 + i) for i in range(30)] + [(7, 7)], "a long, b long")
     got = {r.node: r.root for r in connected_components(edges).collect()}

@@ -146,14 +146,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return _with_components(docs).select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component of near-duplicates: the one with the least id, null ids last, then text hash.
+def keep_first(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """One row of docs for each root of `rooted` (doc_id, text_hash, root): the one with the least id, null ids last, then text hash.
 
     Repeated rows count as copies. Columns and their order stay.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    kept = _with_components(docs).groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    kept = rooted.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     rows = docs.withColumn("_hash", F.xxhash64("text"))
     rows = rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (rows["_hash"] == kept["_hash"]), "left_semi")
     nth = F.row_number().over(Window.partitionBy(F.col("doc_id").cast("long"), "_hash").orderBy(F.xxhash64(*docs.columns)))
     return rows.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of docs for each component of near-duplicates; see keep_first for which."""
+    return keep_first(docs, _with_components(docs))
