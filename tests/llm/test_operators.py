@@ -167,6 +167,17 @@ def test_classifiers(spark, docs, empty, model, label):
     assert {round(r.score, 6) for r in model.score(docs, constant).select("score").distinct().collect()} <= {0.5} or label == "toxic"
 
 
+def test_quality_of_a_text_is_its_own(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    model = quality.Model(rng.normal(size=1 << quality.LOG_BUCKETS).astype(np.float32), 0.1, 0.25)
+    texts = ["", "abc def", "x", None, "", "\n", "ab", " a longer one, with é and\nlines ", "", "end"]
+    alone = [model.scores(pa.array([t], pa.string()))[0] for t in texts]
+    assert np.allclose(model.scores(pa.array(texts)), alone, rtol=0, atol=1e-9)
+    assert alone[0] == alone[3] == alone[5] == 0.25
+
+
 def test_toxicity_points_at_sentences(spark):
     texts = [(f"good words here number{i}. quite fine day", 0) for i in range(200)] + [(f"good words here. vilest insult number{i}. fine day", 1) for i in range(60)]
     import pyarrow as pa

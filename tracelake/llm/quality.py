@@ -27,7 +27,8 @@ THRESHOLD = 0.3
 def features(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """For words, word pairs and each n-gram size: the buckets, and where each row's begin (the end last).
 
-    N-grams may touch white space with their first or last byte, but not within, so that they are parts of words. A pair is
+    N-grams may touch white space with their first or last byte, but not within, so that they are parts of words. None goes
+    on into the next row. A pair is
     known by the difference of its words' hashes, so that all pairs of equal words share a bucket.
     """
     data, offsets = joined(column)
@@ -43,7 +44,11 @@ def features(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     before = np.concatenate(([0], np.cumsum(space)))
     for n in GRAMS:
         count = max(0, len(data) - n + 1)
-        at = np.flatnonzero(before[n - 1 : n - 1 + count] == before[1 : 1 + count])
+        inside = before[n - 1 : n - 1 + count] == before[1 : 1 + count]
+        for k in range(1, n):
+            crossing = offsets[1:-1] - k
+            inside[crossing[(crossing >= 0) & (crossing < count)]] = False
+        at = np.flatnonzero(inside)
         found.append((_bucket(rolling.grams(n)[at], n), np.searchsorted(at, offsets)))
     return found
 
