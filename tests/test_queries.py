@@ -57,3 +57,10 @@ def test_blur_of_an_impulse_sums_to_one_inside(spark):
 def test_zscore_of_a_constant_is_null(spark):
     df = spark.createDataFrame([([2.0, 2.0],), ([1.0, 3.0],)], "v array<double>")
     assert [r.z for r in df.select(series.zscored(F.col("v")).alias("z")).collect()] == [[None, None], [-1.0, 1.0]]
+
+
+def test_stim_indicator_by_user_leaves_no_signup_out(spark):
+    signups = spark.read.parquet(f"{SF}/events.parquet").where("event_type = 'signup'")
+    got = catalogue.QUERIES["stim_indicator_by_user"](spark, SF)
+    lit = {r.user_id for r in got.where("stim = 1").select("user_id").distinct().collect()}
+    assert lit == {r.user_id for r in signups.select("user_id").distinct().collect()} and any(u % 50 for u in lit)

@@ -124,6 +124,22 @@ def stim_indicator(spark, sf_dir):
     return spark.range(720).select(F.col("id").alias("hour")).join(on, "hour", "left").select("hour", F.coalesce("stim", F.lit(0)).alias("stim"))
 
 
+@query(f"""WITH {_EV}, e AS (SELECT floor(min(t) / 3600000000)::BIGINT AS a, floor(max(t) / 3600000000)::BIGINT + 4 AS b FROM ev), h AS (SELECT unnest(range(a, b + 1)) AS hour FROM e),
+s AS (SELECT user_id, t FROM ev WHERE event_type = 'signup'), u AS (SELECT DISTINCT user_id FROM s)
+SELECT u.user_id, h.hour, CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.user_id IS NOT DISTINCT FROM u.user_id AND h.hour * 3600000000 >= s.t AND h.hour * 3600000000 < s.t + 4 * 3600000000) THEN 1 ELSE 0 END AS stim FROM u, h""")
+def stim_indicator_by_user(spark, sf_dir):
+    hour = 3_600_000_000
+    ev = _events(spark, sf_dir)
+    hours = ev.agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a is not null")
+    hours = hours.select(F.explode(F.sequence(F.floor(F.col("a") / hour).cast("long"), F.floor(F.col("b") / hour).cast("long") + 4)).alias("hour"))
+    s = ev.where("event_type = 'signup'")
+    first = F.ceil(F.col("t") / hour).cast("long")
+    on = s.select("user_id", F.explode(F.sequence(first, F.ceil((F.col("t") + 4 * hour) / hour).cast("long") - 1)).alias("hour")).distinct().withColumn("stim", F.lit(1))
+    grid = s.select("user_id").distinct().crossJoin(F.broadcast(hours)).alias("g")
+    same = F.col("g.user_id").eqNullSafe(F.col("o.user_id")) & (F.col("g.hour") == F.col("o.hour"))
+    return grid.join(on.alias("o"), same, "left").select("g.user_id", "g.hour", F.coalesce("stim", F.lit(0)).alias("stim"))
+
+
 @query(f"""WITH {_EV} SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY t) AS trial, row_number() OVER (PARTITION BY user_id, event_type ORDER BY t) AS occurrence, lead(t) OVER (PARTITION BY user_id ORDER BY t) - 1 AS "end" FROM ev""")
 def trial_ids(spark, sf_dir):
     return E.trials(_events(spark, sf_dir), "user_id", "t", "event_type").select("event_id", "trial", "occurrence", "end")
