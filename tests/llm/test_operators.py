@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tracelake.llm import decontam, htmltext, jaccard, mixing, packing, quality, queries, rules, simhash, substring, toxicity, urlfilter
+from tracelake.llm.common import training_rows
 from tracelake.llm.components import connected_components
 
 SF = "/root/testdata/sf0.001"
@@ -178,6 +179,14 @@ def test_quality_of_a_text_is_its_own(spark):
     assert alone[0] == alone[3] == alone[5] == 0.25
 
 
+def test_training_takes_one_row_of_each_id(spark):
+    texts = [(1, f"text {i}") for i in range(50)] + [(2, "other"), (2, "another"), (3, None), (4, "fourth")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int")
+    found = [training_rows(spark.createDataFrame(t, "doc_id long, text string").repartition(6), labels, "quality", 4).collect() for t in (texts, texts[::-1])]
+    want = {i for i in range(1, 5) if zlib.crc32(str(i).encode()) % 5}
+    assert len(found[0]) == len(want) > 1 and sorted(map(str, found[0])) == sorted(map(str, found[1]))
+
+
 def test_toxicity_points_at_sentences(spark):
     texts = [(f"good words here number{i}. quite fine day", 0) for i in range(200)] + [(f"good words here. vilest insult number{i}. fine day", 1) for i in range(60)]
     import pyarrow as pa
