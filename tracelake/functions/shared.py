@@ -1,15 +1,30 @@
-"""Lineage cuts in the folder that the cluster shares."""
+"""Lineage cuts and written tables in the folder that the cluster shares."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Where that is unset, a temporary one in local mode, and an error on a cluster."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir")
+    if not found and not context.master.partition("[")[0] == "local":
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    return found.rstrip("/") if found else tempfile.mkdtemp(prefix="tracelake-")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint df in the folder of spark.checkpoint.dir; only where that is unset, in a temporary one."""
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tracelake-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

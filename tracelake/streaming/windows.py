@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.functions.shared import shared_folder
+
 
 def stream_bouts(events: DataFrame, key: str, gap: str, late: str) -> DataFrame:
     """Events of a key less than `gap` apart, merged: key, first and last event time (ts), n. Emitted once `late` has passed."""
@@ -25,8 +26,7 @@ def stream_rates(events: DataFrame, key: str, value: str, width: str, late: str)
 def drained(stream: DataFrame) -> DataFrame:
     """What a stream yields of the input that is there now, appended to Parquet in the shared checkpoint folder and read back."""
     spark = stream.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="stream-")
-    base = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     query = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start(f"{base}/rows")
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{base}/rows")
