@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracelake.functions.shared import cut as cut
+
 #: White space as the operators' contracts name it: \x20 and \x09 to \x0D.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 #: An Arrow batch is worked on in pieces of about this many bytes of text, which bounds the temporary arrays.
@@ -21,14 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder of spark.checkpoint.dir; only where that is unset, in a temporary one."""
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tracelake-"))
-    return df.checkpoint(eager=True)
-
-
 def held_out(doc_id: str = "doc_id"):
     """True for the fold that no model may learn from; a null id is never held out, and never learnt from either."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

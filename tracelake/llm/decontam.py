@@ -1,11 +1,11 @@
 """Benchmark decontamination: MinHash containment search, partitioned by size, then exact shingle containment.
 
 An item with n different shingles is contained in a document if at least THRESHOLD * n of them occur there. Items are
-partitioned by size (n up to a power of two); in each partition an item is known by its least shingles in one order of all
-shingles, by how many items have them and then by hash: one more of them than a contained item of that size may lack.
-So each document that contains an item holds one of its known shingles, however long the document is, and nothing is lost.
-Documents are read once: a bit map of fixed size picks out their shingles that items have, and only documents with a known
-one go on to an equi-join and the exact count.
+partitioned by size (n up to a power of two); in each partition an item's signature is its k least shingles in one order of
+all shingles, by how many items have them and then by hash, where k is one more than a contained item of that size may
+lack. So each document that contains an item holds a shingle of its signature, however long the document is, and nothing is
+lost. Documents are read once: bit maps sized by the number of items' shingles pick out the shingles that items have, and
+only documents with one of a signature go on to equi-joins and the exact count, in rows of one shingle each.
 """
 
 from __future__ import annotations
@@ -21,8 +21,13 @@ from tracelake.functions.ship import map_arrow
 from tracelake.llm.common import Words, cut, pieces
 
 SHINGLE, THRESHOLD = 5, 0.8
-#: Bits (log2) of each map, and from which bits of a shingle's hash its cells are taken: 8 MB, whatever the number of items.
-LOG_BITS, PROBES = 26, (38, 12)
+#: A map has about BITS_EACH bits for each shingle, at least and at most so many (log2); 2**28 take 32 MB. With more shingles
+#: than that serves, more of the documents' shingles pass and are told apart by the joins.
+BITS_EACH, LEAST_LOG_BITS, MOST_LOG_BITS = 16, 20, 28
+#: From which bits of a shingle's hash its two cells are taken.
+PROBES = (36, 8)
+#: Items' shingles are broadcast up to so many rows of four numbers, and joined by shuffles beyond.
+BROADCAST_ROWS = 1_000_000
 
 
 def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -60,11 +65,13 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def _bits(hashes: DataFrame) -> np.ndarray:
-    """A bit map of the hashes, gathered as at most 2**(LOG_BITS - 6) words of 64 bits."""
-    cells = F.explode(F.array(*[F.shiftrightunsigned("h", i).bitwiseAND(F.lit((1 << LOG_BITS) - 1)) for i in PROBES])).alias("cell")
+    """A bit map of the hashes as 64-bit words, of a size that their number calls for and MOST_LOG_BITS bounds."""
+    n = hashes.count()
+    log_bits = min(MOST_LOG_BITS, max(LEAST_LOG_BITS, (BITS_EACH * n).bit_length()))
+    cells = F.explode(F.array(*[F.shiftrightunsigned("h", i).bitwiseAND(F.lit((1 << log_bits) - 1)) for i in PROBES])).alias("cell")
     bit = F.expr("shiftleft(1L, cast(cell & 63 as int))")
     words = hashes.select(cells).groupBy(F.shiftrightunsigned("cell", 6).alias("w")).agg(F.bit_or(bit).alias("b")).toArrow()
-    out = np.zeros(1 << (LOG_BITS - 6), np.int64)
+    out = np.zeros(1 << (log_bits - 6), np.int64)
     out[words.column("w").to_numpy()] = words.column("b").to_numpy()
     return out
 
@@ -72,7 +79,7 @@ def _bits(hashes: DataFrame) -> np.ndarray:
 def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     found = np.ones(len(hashes), bool)
     for i in PROBES:
-        cell = (hashes >> np.uint64(i) & np.uint64((1 << LOG_BITS) - 1)).astype(np.int64)
+        cell = (hashes >> np.uint64(i) & np.uint64((len(bits) << 6) - 1)).astype(np.int64)
         found &= (bits[cell >> 6] >> (cell & 63) & 1).astype(bool)
     return found
 
@@ -89,28 +96,28 @@ def _hits(shared):
                 continue
             own = np.isin(row, sure)
             pairs = np.unique(np.stack((row[own].astype(np.uint64), hashes[own]), axis=1), axis=0)
-            at = np.searchsorted(pairs[:, 0], np.append(sure, piece.num_rows).astype(np.uint64))
-            ids = pa.array(sure)
-            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(ids), piece.column("text_hash").take(ids), lists], ["doc_id", "text_hash", "hits"])
+            at = pa.array(pairs[:, 0].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id").take(at), piece.column("text_hash").take(at), pa.array(np.ascontiguousarray(pairs[:, 1]).view(np.int64))], ["doc_id", "text_hash", "h"])
 
     return run
 
 
 def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, item_id, item_hash, n_item, n_shared), each pair of texts once."""
     items = cut(items_of(benchmark))
+    few = F.broadcast if items.count() <= BROADCAST_ROWS else lambda rows: rows
     maps = _bits(items.where("known").select("h").distinct()), _bits(items.select("h").distinct())
     shared = docs.sparkSession.sparkContext.broadcast(maps)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    hits = cut(map_arrow(rows, _hits(shared), "doc_id long, text_hash long, hits array<long>"))
-    one = ["doc_id", "text_hash", "item_id", "item_hash"]
-    known = items.where("known").select("h", "item_id", "item_hash")
-    pairs = hits.select("doc_id", "text_hash", F.col("hits"), F.explode("hits").alias("h")).join(known, "h").groupBy(*one).agg(F.first("hits").alias("hits"))
-    whole = items.groupBy("item_id", "item_hash").agg(F.collect_list("h").alias("shingles"), F.first("n").alias("n_item"))
-    whole = whole.withColumnsRenamed({"item_id": "i", "item_hash": "ih"})
-    both = pairs.join(whole, F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_hash") == F.col("ih")))
-    both = both.withColumn("n_shared", F.size(F.array_intersect("hits", "shingles")).cast("long"))
-    return both.where(F.col("n_shared") >= THRESHOLD * F.col("n_item") - 1e-9)
+    hits = cut(map_arrow(rows, _hits(shared), "doc_id long, text_hash long, h long"))
+    pairs = hits.join(few(items.where("known").select("h", "item_id", "item_hash")), "h").select("doc_id", "text_hash", "item_id", "item_hash").distinct()
+    # Each candidate pair yields the item's shingles, of which those that the document has too are counted.
+    own = items.select(F.col("item_id").alias("_item"), "item_hash", "h", "n")
+    asked = pairs.join(few(own), (F.col("item_id").eqNullSafe(F.col("_item"))) & (pairs["item_hash"] == own["item_hash"])).select("doc_id", "text_hash", "item_id", pairs["item_hash"], "h", "n")
+    there = hits.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("h").alias("_h"))
+    found = asked.join(there, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")) & (F.col("h") == F.col("_h")), "left_semi")
+    counts = found.groupBy("doc_id", "text_hash", "item_id", "item_hash").agg(F.first("n").alias("n_item"), F.count("*").alias("n_shared"))
+    return counts.where(F.col("n_shared") >= THRESHOLD * F.col("n_item") - 1e-9)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
