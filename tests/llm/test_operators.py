@@ -153,19 +153,38 @@ def test_decontamination(spark, docs, rows, empty):
     assert decontam.leaks(empty, benchmark).count() == 0 and decontam.leaks(docs, benchmark.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("model, label", [(quality, "quality"), (toxicity, "toxic")])
-def test_classifiers(spark, docs, empty, model, label):
+def test_decontamination_of_a_dump_of_items(spark):
+    rng = random.Random(6)
+    items = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(50))) for i in range(1000)]
+    docs = spark.createDataFrame([(1, " ".join(t for _, t in items)), (1, items[0][1]), (None, items[1][1]), (2, "clean words of a text")], "doc_id long, text string")
+    got = decontam.leaks(docs, spark.createDataFrame([*items, (None, items[2][1])], "item_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.item_id) for r in got), key=str) == sorted([(1, i) for i, _ in items] + [(1, None), (None, 1)], key=str) and {r.n_shared for r in got} == {46}
+
+
+@pytest.mark.parametrize("model, label, recall, precision", [(quality, "quality", 0.98, 0.98), (toxicity, "toxic", 0.75, 0.65)])
+def test_classifiers(spark, docs, empty, model, label, recall, precision):
     all_docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     fitted = model.fit(all_docs, labels)
     got = model.score(all_docs, fitted).join(labels, "doc_id").collect()
     held = [r for r in got if r.held_out]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
-    assert sum(r.predicted == r[label] for r in held) >= (0.9 if label == "quality" else 0.85) * len(held)
+    caught, positive, said = (sum(map(f, held)) for f in (lambda r: r.predicted * r[label], lambda r: r[label], lambda r: r.predicted))
+    assert caught >= recall * positive and caught >= precision * said
+    ones, zeros = ([r.score for r in held if r[label] == y] for y in (1, 0))
+    assert sum((a > b) + (a == b) / 2 for a in ones for b in zeros) >= 0.9 * len(ones) * len(zeros)
     edge = model.score(docs, fitted)
     assert edge.count() == docs.count() and edge.where("score is null or score < 0 or score > 1").count() == 0
     assert model.score(empty, fitted).count() == 0
-    constant = model.fit(empty, labels.limit(0))
-    assert {round(r.score, 6) for r in model.score(docs, constant).select("score").distinct().collect()} <= {0.5} or label == "toxic"
+
+
+@pytest.mark.parametrize("model, label", [(quality, "quality"), (toxicity, "toxic")])
+def test_without_both_labels_all_texts_score_the_same(spark, docs, empty, model, label):
+    ids = docs.where("doc_id is not null").select("doc_id").distinct()
+    n = len({r.doc_id for r in ids.collect() if zlib.crc32(str(r.doc_id).encode()) % 5})
+    for labels, share in ((ids.limit(0).withColumn(label, F.lit(1)), 0.5), (ids.withColumn(label, F.lit(0)), 1 / (n + 2)), (ids.withColumn(label, F.lit(1)), (n + 1) / (n + 2))):
+        scored = model.score(docs, model.fit(docs, labels)).collect()
+        assert {round(r.score, 6) for r in scored} == {round(share, 6)} and len(scored) == docs.count()
+        assert label == "quality" or not any(r.offending for r in scored)
 
 
 def test_quality_of_a_text_is_its_own(spark):
@@ -188,13 +207,26 @@ def test_training_takes_one_row_of_each_id(spark):
 
 
 def test_toxicity_points_at_sentences(spark):
-    texts = [(f"good words here number{i}. quite fine day", 0) for i in range(200)] + [(f"good words here. vilest insult number{i}. fine day", 1) for i in range(60)]
     import pyarrow as pa
 
-    batch = pa.RecordBatch.from_pydict({"text": [t for t, _ in texts], "y": [y for _, y in texts]})
-    data = [(y, i.values.to_numpy(), o.values.to_numpy()) for b in toxicity._training_features([batch]) for y, i, o in zip(b.column("y").to_pylist(), b.column("ids"), b.column("of"))]
-    p, row, begins = toxicity.train(data).sentences(pa.array(["all good words. vilest insult again. fine day"]))
+    texts = [(f"good words here number{i}. quite fine day", 0) for i in range(200)] + [(f"good words here. vilest insult number{i}. fine day", 1) for i in range(60)]
+    long = "calm words follow one another. " * 2500
+    texts += [(long + "vilest insult once. " + long, 1), (long + long, 0)]  # all of a text is learnt from
+    sample = toxicity.sample_of(spark.createDataFrame([(t, y, i) for i, (t, y) in enumerate(texts)], "text string, y int, hash long"))
+    middle = next(t for t in sample.texts if t[0] and t[3] == 5001)
+    assert set(middle[2]) == {2500} and all(n == 5000 and not len(ids) for y, ids, _, n in sample.texts if n > 100 and not y)
+    model = toxicity.train(sample)
+    p, row, begins = model.sentences(pa.array(["all good words. vilest insult again. fine day"]))
     assert p.argmax() == 1 and begins[1] == 16 and p[1] > 0.5
+    assert [x > 0.5 for x in model.scores(pa.array([t for t, _ in texts[-2:]]))] == [True, False]
+
+
+def test_quality_learns_from_whole_texts():
+    import pyarrow as pa
+
+    text = "ab cd ab " * 5000
+    (got,) = quality._training_features([pa.RecordBatch.from_pydict({"text": [text], "y": pa.array([1], pa.int32()), "hash": [5]})])
+    assert sum(got.column("counts")[0].as_py()) == sum(len(ids) for ids, _ in quality.features(pa.array([text]))) > 100_000
 
 
 def test_rules(docs, rows, spark, empty):

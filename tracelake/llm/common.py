@@ -32,7 +32,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
 
     The ids are chosen from `labels` alone, so their broadcast to the scan of `docs` is bounded by `most`. A label that is
     null, or an id with several labels, counts by its largest label. Of rows with one id, that with the least text hash is
-    taken, so that `most` bounds the rows too. Columns: text, y.
+    taken, so that `most` bounds the rows too. Columns: text, y, hash (of the text).
     """
     chosen = (
         labels.select(F.col("doc_id").alias("learn_id"), F.col(label).cast("int").alias("y"))
@@ -45,7 +45,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("learn_id"))
     one = rows.groupBy("learn_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
     # Few rows, but they are worked on at length: a partition for each core.
-    return one.select("one.text", "y").repartition(docs.sparkSession.sparkContext.defaultParallelism)
+    return one.select("one.text", "y", "one.hash").repartition(docs.sparkSession.sparkContext.defaultParallelism)
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:

@@ -19,8 +19,8 @@ from tracelake.llm.common import SPACES, Rolling, held_out, joined, lookup, mixe
 
 #: Buckets of the hashed vectors (log2), their length, the sizes of the n-grams in bytes, and how far apart paired words are.
 LOG_BUCKETS, DIM, GRAMS, APART = 17, 8, (3, 4), (1, 2, 3)
-#: Bounds of the training sample: texts, and features drawn from each of them.
-TRAIN_TEXTS, TRAIN_FEATURES = 5000, 1000
+#: Bound of the training sample: labelled texts, learnt from in whole, as counts by bucket.
+TRAIN_TEXTS = 5000
 THRESHOLD = 0.3
 
 
@@ -58,14 +58,12 @@ def _bucket(hashes: np.ndarray, kind: int) -> np.ndarray:
 
 
 def _training_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's buckets with how often they occur."""
     for piece in pieces(batches):
         found = features(piece.column("text"))
-        rows = []
-        for i in range(piece.num_rows):
-            own = np.concatenate([ids[at[i] : at[i + 1]] for ids, at in found])
-            step = -(-len(own) // TRAIN_FEATURES) or 1
-            rows.append(own[::step])
-        yield pa.RecordBatch.from_pydict({"y": piece.column("y"), "ids": pa.array(rows, pa.list_(pa.int32()))})
+        rows = [np.unique(np.concatenate([ids[at[i] : at[i + 1]] for ids, at in found]), return_counts=True) for i in range(piece.num_rows)]
+        ids, counts = (pa.array([r[k].astype(np.int32) for r in rows], pa.list_(pa.int32())) for k in range(2))
+        yield pa.RecordBatch.from_arrays([piece.column("y"), piece.column("hash"), ids, counts], ["y", "hash", "ids", "counts"])
 
 
 @dataclass
@@ -86,26 +84,26 @@ class Model:
         return np.where(count > 0, 1 / (1 + np.exp(-odds)), self.empty)
 
 
-def train(rows: list[tuple[int, np.ndarray]], epochs: int = 6, rate: float = 1.0, seed: int = 7) -> Model:
-    """Stochastic gradient descent over (label, buckets) rows, with a rate that falls to zero. No rows, or one label: a constant."""
-    labels = np.array([y for y, _ in rows], np.int64)
+def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 6, rate: float = 1.0, seed: int = 7) -> Model:
+    """Stochastic gradient descent over (label, buckets, counts) rows, with a rate that falls to zero. No rows, or one label: a constant."""
+    labels = np.array([y for y, *_ in rows], np.int64)
     empty = (labels.sum() + 1) / (len(labels) + 2)
     if len(np.unique(labels)) < 2:
         return Model(np.zeros(1 << LOG_BUCKETS, np.float32), float(np.log(empty / (1 - empty))), float(empty))
     rng = np.random.default_rng(seed)
-    vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << LOG_BUCKETS, DIM))
+    vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << LOG_BUCKETS, DIM)).astype(np.float32)
     output, bias = np.zeros((DIM, 2)), np.log([1 - empty, empty])
-    texts = [np.unique(ids, return_counts=True) for _, ids in rows]
+    shares = [(counts / max(1, counts.sum())).astype(np.float32) for _, _, counts in rows]
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            ids, counts = texts[i]
+            ids, share = rows[i][1], shares[i]
             done += 1
             if not len(ids):
                 continue
             lr = rate * (1 - done / steps)
-            share = counts / counts.sum()
-            mean = share @ vectors[ids]
+            old = vectors[ids]
+            mean = share @ old
             out = mean @ output + bias
             out = np.exp(out - out.max())
             out /= out.sum()
@@ -113,17 +111,18 @@ def train(rows: list[tuple[int, np.ndarray]], epochs: int = 6, rate: float = 1.0
             back = output @ out
             output -= lr * np.outer(mean, out)
             bias -= 0.1 * lr * out
-            vectors[ids] -= lr * 20 * np.outer(share, back)
+            vectors[ids] = old - np.outer(share, (lr * 20 * back).astype(np.float32))
     return Model((vectors @ (output[:, 1] - output[:, 0])).astype(np.float32), float(bias[1] - bias[0]), float(empty))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS) -> Model:
     """A model from at most `most` labelled rows outside the held-out fold; see training_rows."""
-    sample = map_arrow(training_rows(docs, labels, "quality", most), _training_features, "y int, ids array<int>").toArrow()
-    ids = sample.column("ids").combine_chunks()
-    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) and ids.num_chunks else ids
-    rows = [(y, x.values.to_numpy()) for y, x in zip(sample.column("y").to_pylist(), ids)] if sample.num_rows else []
-    return train(sorted(rows, key=lambda r: (r[0], len(r[1]), r[1].tobytes())))
+    sample = map_arrow(training_rows(docs, labels, "quality", most), _training_features, "y int, hash long, ids array<int>, counts array<int>").toArrow()
+    rows = []
+    for batch in sample.to_batches():
+        y, hashes = batch.column("y").to_pylist(), batch.column("hash").to_pylist()
+        rows += [(h, y[i], ids.values.to_numpy(), counts.values.to_numpy()) for i, (h, ids, counts) in enumerate(zip(hashes, batch.column("ids"), batch.column("counts")))]
+    return train([r[1:] for r in sorted(rows, key=lambda r: (r[1], r[0]))])
 
 
 def _scored(model):

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions.ship import map_arrow
-from tracelake.llm.common import SPACES, Rolling, held_out, joined, lookup, mixed, pieces, spans, training_rows
+from tracelake.llm.common import SPACES, Rolling, cut, held_out, joined, lookup, mixed, pieces, spans, training_rows
 
 LOG_BUCKETS = 18
 #: A word counts by itself and by its beginnings of so many bytes (a shorter word by itself in their place).
 PREFIXES = (4, 5, 6)
-#: Bound of the training sample: texts, and words taken from each of them; a longer text gives every n-th of its sentences.
-TRAIN_TEXTS, TRAIN_WORDS = 8000, 3000
-#: A bucket has to occur in so many texts of the sample to get a weight.
-LEAST_TEXTS = 6
+#: Bound of the training sample: labelled texts, learnt from in whole.
+TRAIN_TEXTS = 8000
+#: A bucket has to occur in so many texts of the sample to get a weight, and to be so many times (log) as frequent in toxic ones.
+LEAST_TEXTS, LEAST_RATIO = 6, 1.0
 THRESHOLD = 0.5
 STOPS = b".!?\n"
 _APART = lookup(SPACES + b".!?,;:\"'()[]{}|#*$%&<>~=+/\\-_")
@@ -48,33 +48,74 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     return (mixed(hashes) >> np.uint64(64 - LOG_BUCKETS)).astype(np.int32), sentence, row, starts[first] - offsets[row]
 
 
-def _training_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of each label a bucket occurs, summed by piece."""
     for piece in pieces(batches):
         words, sentence, row, _ = features(piece.column("text"))
-        at = np.searchsorted(row[sentence], np.arange(piece.num_rows + 1)) if len(words) else np.zeros(piece.num_rows + 1, int)
-        own = [_spread(sentence[at[i] : at[i + 1]]) for i in range(piece.num_rows)]
-        ids = [words[at[i] + chosen].ravel() for i, (chosen, _) in enumerate(own)]
-        yield pa.RecordBatch.from_pydict({"y": piece.column("y"), "ids": pa.array(ids, pa.list_(pa.int32())), "of": pa.array([of for _, of in own], pa.list_(pa.int32()))})
+        pairs = np.unique(row[sentence][:, None] << LOG_BUCKETS | words) if len(words) else np.zeros(0, np.int64)
+        toxic = piece.column("y").to_numpy(zero_copy_only=False)[pairs >> LOG_BUCKETS] == 1
+        buckets, inverse = np.unique(pairs & ((1 << LOG_BUCKETS) - 1), return_inverse=True)
+        counts = [np.bincount(inverse, weights=x, minlength=len(buckets)).astype(np.int64) for x in (~toxic, toxic)]
+        yield pa.RecordBatch.from_arrays([pa.array(buckets.astype(np.int32)), *map(pa.array, counts)], ["bucket", "clean", "toxic"])
 
 
-def _spread(sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which words of a text to learn from, TRAIN_WORDS at most and from its whole length, and the sentence of each (from 0)."""
-    if not len(sentence):
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    step = -(-len(sentence) // TRAIN_WORDS)
-    local = sentence - sentence[0]
-    chosen = np.flatnonzero(local % step == 0)
-    chosen = chosen[:: -(-len(chosen) // TRAIN_WORDS)]
-    return chosen, (local[chosen] // step).astype(np.int32)
+def _telling(known: np.ndarray):
+    """Of each text: its label, the number of its sentences, and its known buckets with the sentence that each is in (from 0)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            words, sentence, row, _ = features(piece.column("text"))
+            sizes = np.bincount(row, minlength=piece.num_rows)
+            word, kind = np.nonzero(known[words])
+            of = sentence[word]
+            at = np.searchsorted(row[of], np.arange(piece.num_rows + 1)).astype(np.int32)
+            local = of - (np.cumsum(sizes) - sizes)[row[of]]
+            lists = [pa.ListArray.from_arrays(pa.array(at), pa.array(x.astype(np.int32))) for x in (words[word, kind], local)]
+            yield pa.RecordBatch.from_arrays([piece.column("y"), piece.column("hash"), pa.array(sizes.astype(np.int32)), *lists], ["y", "hash", "n", "ids", "of"])
+
+    return run
+
+
+@dataclass
+class Sample:
+    """What is learnt from: (label, buckets, their sentences, number of sentences) of each text, and the buckets' log ratios, 0 for unknown ones."""
+
+    texts: list[tuple[int, np.ndarray, np.ndarray, int]]
+    ratios: np.ndarray
+    n_clean: int
+    n_toxic: int
+
+
+def sample_of(rows: DataFrame) -> Sample:
+    """From rows (text, y, hash) of training texts: two passes over their whole texts.
+
+    The first counts the texts of each label that have a bucket, which finds the buckets that tell; the second brings only
+    those to the driver, with their sentences.
+    """
+    rows = cut(rows)
+    totals = rows.agg(F.count_if(F.col("y") != 1), F.count_if(F.col("y") == 1)).first()
+    share = lambda c, n: F.log((F.col(c) + 1) / F.lit(n + 2.0))
+    counts = map_arrow(rows, _texts_with, "bucket int, clean long, toxic long").groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    told = counts.withColumn("ratio", share("toxic", totals[1]) - share("clean", totals[0]))
+    found = told.where((F.col("clean") + F.col("toxic") >= LEAST_TEXTS) & (F.col("ratio") > LEAST_RATIO)).select("bucket", "ratio").toArrow()
+    ratios = np.zeros(1 << LOG_BUCKETS)
+    ratios[found.column("bucket").to_numpy()] = found.column("ratio").to_numpy()
+    gathered = map_arrow(rows, _telling(ratios > 0), "y int, hash long, n int, ids array<int>, of array<int>").toArrow()
+    texts = []
+    for batch in gathered.to_batches():
+        y, hashes, n = (batch.column(c).to_pylist() for c in ("y", "hash", "n"))
+        texts += [(h, y[i], ids.values.to_numpy(), of.values.to_numpy(), n[i]) for i, (h, ids, of) in enumerate(zip(hashes, batch.column("ids"), batch.column("of")))]
+    return Sample([t[1:] for t in sorted(texts, key=lambda t: (t[1], t[0]))], ratios, *totals)
 
 
 @dataclass
 class Model:
-    """Weights by bucket, the constant of a sentence, and the probability of a text without sentences."""
+    """Weights by bucket, the constant of a sentence, and the probability of a text without sentences (of any text, if constant)."""
 
     weights: np.ndarray
     bias: float
     empty: float
+    constant: bool = False
 
     def sentences(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Probability, row and byte offset of each sentence."""
@@ -83,31 +124,26 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40))), row, begins
 
     def scores(self, column: pa.Array) -> np.ndarray:
+        if self.constant:
+            return np.full(len(column), self.empty)
         p, row, _ = self.sentences(column)
         none = np.bincount(row, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=len(column))
         return np.where(np.bincount(row, minlength=len(column)) > 0, -np.expm1(none), self.empty)
 
 
-def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 15, rate: float = 0.2, batch: int = 64, seed: int = 7) -> Model:
-    """Adaptive gradient steps on the noisy-or's log likelihood over (label, words' buckets, words' sentences).
+def train(sample: Sample, epochs: int = 15, rate: float = 0.2, batch: int = 64, seed: int = 7) -> Model:
+    """Adaptive gradient steps on the noisy-or's log likelihood.
 
     Only buckets that are e times as frequent in toxic texts as in others take part; each starts at, and its steps are
-    scaled by, that log ratio (of smoothed shares of texts), so that words of a few texts are not learnt by heart. With one
-    label only, the model is a constant.
+    scaled by, that log ratio (of smoothed shares of texts), so that words of a few texts are not learnt by heart. Without
+    texts of both labels every text, however long, gets the same score, and no sentence offends.
     """
-    labels = np.array([y for y, _, _ in rows], np.int64)
-    share = (labels.sum() + 1) / (len(labels) + 2)
-    size, wide = 1 << LOG_BUCKETS, 1 + len(PREFIXES)
-    if len(np.unique(labels)) < 2:
-        return Model(np.zeros(size, np.float32), float(np.log(share / (1 - share))), float(share))
-    seen = np.zeros((2, size), np.int64)
-    for y, ids, _ in rows:
-        seen[int(y == 1)][np.unique(ids)] += 1
-    totals = np.array([[(labels != 1).sum()], [(labels == 1).sum()]])
-    ratio = np.diff(np.log((seen + 1) / (totals + 2)), axis=0)[0]
-    known = (seen.sum(axis=0) >= LEAST_TEXTS) & (ratio > 1)
-    scale = np.where(known, ratio, 0.0)
-    texts = [(y, ids[known[ids]], np.repeat(of, wide)[known[ids]], int(of[-1]) + 1) for y, ids, of in rows if len(of)]
+    size = 1 << LOG_BUCKETS
+    share = (sample.n_toxic + 1) / (sample.n_clean + sample.n_toxic + 2)
+    if not sample.n_clean or not sample.n_toxic:
+        return Model(np.zeros(size, np.float32), -40.0, float(share), True)
+    scale = sample.ratios
+    texts = [t for t in sample.texts if t[3]]
     weights, squares, bias, bias_square = scale.copy(), np.full(size, 1e-2), -8.0, 1e-2
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
@@ -135,9 +171,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 15, rate
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS) -> Model:
     """A model from at most `most` labelled rows outside the held-out fold; see training_rows."""
-    sample = map_arrow(training_rows(docs, labels, "toxic", most), _training_features, "y int, ids array<int>, of array<int>").toArrow()
-    columns = [sample.column(c).to_pylist() if c == "y" else [x.values.to_numpy() for chunk in sample.column(c).chunks for x in chunk] for c in ("y", "ids", "of")]
-    return train(sorted(zip(*columns), key=lambda r: (r[0], len(r[1]), r[1].tobytes())))
+    return train(sample_of(training_rows(docs, labels, "toxic", most)))
 
 
 def _scored(model):
