@@ -249,18 +249,40 @@ def test_rules(docs, rows, spark, empty):
     assert rules.judged(empty, spark.createDataFrame([], "doc_id long, quality int")).count() == 0
 
 
-@pytest.mark.parametrize("limit", [rules.LIMIT, 0.4])
-def test_rules_match_sql(spark, limit):
+@pytest.mark.parametrize("limit, sf", [(rules.LIMIT, "0.01"), (0.2, "0.01"), (rules.LIMIT, "0.1")])
+def test_rules_match_sql(spark, limit, sf):
+    """At sf0.01 too few texts are labelled for the smaller strata; at sf0.1 the registered limit rejects texts in every one."""
     db = duckdb.connect()
-    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf{sf}/{t}.parquet") for t in ("documents", "labels"))
     for t in ("documents", "labels"):
-        db.execute(f"create view {t} as select * from '/root/testdata/sf0.01/{t}.parquet'")
+        db.execute(f"create view {t} as select * from '/root/testdata/sf{sf}/{t}.parquet'")
     want = db.execute(queries.rules_sql(limit))
     columns = [d[0] for d in want.description]
     rows = rules.judged(docs, labels, limit=limit).withColumn("rejected_by", F.array_join("rejected_by", ","))
     assert columns == rows.columns
     got = sorted(map(tuple, rows.collect()))
-    assert got == sorted(want.fetchall()) and (limit == rules.LIMIT or len({r[-1] for r in got}) > 3)
+    assert got == sorted(want.fetchall())
+    lang = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
+    rejecting = {lang[r[0]] for r in got if not r[6] and r[-1]}
+    assert "en" in rejecting and (sf == "0.01" or len(rejecting) == 4)
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    passed = {q: [not r[-1] for r in got if not r[6] and quality.get(r[0]) == q] for q in (0, 1)}
+    assert limit > rules.LIMIT or (sum(passed[1]) >= 0.98 * len(passed[1]) and (sf == "0.01" or sum(passed[0]) < 0.5 * len(passed[0])))
+
+
+def test_rules_keep_the_limit(spark):
+    """Many simulated labelled tables: how often the true rate of false rejection of the cutoffs chosen exceeds the limit."""
+    rng, rows, runs = np.random.default_rng(4), [], 60
+    for run in range(runs):
+        for q, n in ((1, 700), (0, 60)):
+            for symbol, word, design in zip(rng.beta(1, 60, n), rng.normal(5, 0.6, n) + 2 * (q == 0), rng.random(n) < 0.125):
+                rows.append((f"s{run}", float(symbol), 0.0, 0.0, float(word), 0.0, q, bool(design)))
+    labelled = spark.createDataFrame(rows, "stratum string, symbol_share double, dup_lines_per_100_words double, repeat_share double, mean_word double, upper_share double, quality int, design boolean")
+    # Each run's own delta is its share of the strata's.
+    found = rules.cutoffs(labelled, 0.05, 0.2 * runs).collect()
+    symbol, word = rng.beta(1, 60, 400_000), rng.normal(5, 0.6, 400_000)
+    rates = [((symbol > (r.cut_symbol_share or 9)) | (word > (r.cut_mean_word or 99))).mean() for r in found]
+    assert len(found) > runs / 2 and max(rates) > 0.02 and sum(x > 0.05 for x in rates) <= 0.2 * runs
 
 
 def test_binomial_tail(spark):

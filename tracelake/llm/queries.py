@@ -68,19 +68,18 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 
 def rules_sql(limit: float = rules.LIMIT, delta: float = rules.DELTA) -> str:
     """SQL of op4_quality_rules, with the binomial bounds from log-gamma terms."""
-    grid = ", ".join(f"('{m}', {float(c)}::DOUBLE)" for m, cuts in rules.GRID.items() for c in cuts)
-    tests = sum(map(len, rules.GRID.values()))
-    p = limit / len(rules.GRID)
+    grid = ", ".join(f"('{m}', {i}, {c}::DOUBLE)" for m, i, c in rules.STEPS)
+    p = limit
     term = f"exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}::DOUBLE) + (n - i) * ln(1 - {p}::DOUBLE))"
     value = " ".join(f"WHEN '{m}' THEN {m}" for m in rules.GRID)
-    named = ", ".join(f"CASE WHEN {m} > (SELECT min(c) FROM cuts WHERE cuts.stratum = f.stratum AND cuts.m = '{m}') THEN '{m}' END" for m in rules.GRID)
+    named = ", ".join(f"CASE WHEN {m} > (SELECT min(c) FROM taken WHERE taken.stratum = f.stratum AND taken.m = '{m}') THEN '{m}' END" for m in rules.GRID)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '(null)') AS stratum, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, {_WORDS.format("t")} AS w FROM d),
 tri AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3)),
 twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM tri) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 3)) AS k) GROUP BY 1),
-n AS (SELECT d.doc_id, d.stratum, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
+n AS (SELECT d.r, d.doc_id, d.stratum, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
   (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
   length(t) - length(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '')) AS n_upper
@@ -88,10 +87,16 @@ n AS (SELECT d.doc_id, d.stratum, len(w.w)::BIGINT AS n_words, length(array_to_s
 f AS (SELECT *, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed,
   coalesce(n_symbols / word_chars, 0) AS symbol_share, 100 * coalesce(n_dup_lines / n_words, 0) AS dup_lines_per_100_words,
   coalesce(n_repeat_words / n_words, 0) AS repeat_share, coalesce(word_chars / n_words, 0) AS mean_word, coalesce(n_upper / word_chars, 0) AS upper_share FROM n),
-good AS (SELECT * FROM f WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-counts AS (SELECT stratum, m, c, count(*) AS n, count(*) FILTER (WHERE CASE m {value} END > c) AS k FROM good, (VALUES {grid}) AS g(m, c) GROUP BY ALL),
-tails AS (SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: {term})) AS tail FROM counts),
-cuts AS (SELECT stratum, m, c FROM tails WHERE tail < {delta} / ((SELECT count(DISTINCT stratum) FROM good) * {tests}))
+lab AS (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+known AS (SELECT f.*, q, substr(md5(doc_id::VARCHAR), 1, 1) IN ({", ".join(f"'{x}'" for x in rules.DESIGN)}) AS design FROM f JOIN lab USING (doc_id) WHERE NOT base_failed),
+over AS (SELECT r, stratum, q, design, m, i, c, CASE m {value} END > c AS above FROM known, (VALUES {grid}) AS g(m, i, c)),
+steps AS (SELECT stratum, m, c, row_number() OVER (PARTITION BY stratum ORDER BY count(*) FILTER (design AND above AND q = 1), count(*) FILTER (design AND above AND q = 0) DESC, i DESC, m) AS place
+  FROM over GROUP BY stratum, m, i, c),
+good AS (SELECT r, over.stratum, min(place) FILTER (above) AS place FROM over JOIN steps USING (stratum, m, c) WHERE NOT design AND q = 1 GROUP BY 1, 2),
+joint AS (SELECT s.stratum, s.place, count(*) AS n, count(*) FILTER (g.place <= s.place) AS k FROM steps s JOIN good g ON g.stratum = s.stratum GROUP BY 1, 2),
+tails AS (SELECT *, n / (SELECT count(*) FROM good) AS share, CASE WHEN k < {p} * n THEN list_sum(list_transform(range(0, k + 1), lambda i: {term})) ELSE 1 END AS tail FROM joint),
+last AS (SELECT stratum, max(place) AS last FROM tails WHERE tail < {delta} * share GROUP BY 1),
+taken AS (SELECT steps.* FROM steps JOIN last USING (stratum) WHERE place <= last)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rejected_by = '' AS kept, rejected_by
 FROM (SELECT *, array_to_string(list_filter([{named}], lambda x: x IS NOT NULL), ',') AS rejected_by FROM f)"""
 

@@ -1,10 +1,13 @@
 """Quality rules with thresholds whose risk is controlled on labelled texts. DataFrame functions only.
 
-Besides fixed base rules, each text has a few measures. For each stratum and measure, a grid of cutoffs is tried on the
-labelled texts of quality 1: a cutoff is admissible if the exact (Clopper-Pearson) upper bound of its rate of false
-rejection stays below the limit, at a confidence that is Bonferroni-corrected for all strata, measures and cutoffs. The
-strictest admissible cutoff is used; without one, the measure rejects nothing in that stratum. So with probability
-1 - DELTA, no stratum loses more than LIMIT of its good texts to the measures together.
+Besides fixed base rules, each text has a few measures, and each measure a grid of cutoffs. In every stratum a small design
+fold of the labelled texts puts all steps (a measure and a cutoff) in one order: fewest good texts rejected first, then most
+bad ones. Steps are taken in that order, a text being rejected if it is above the cutoff of any step taken, and tested on
+the other labelled texts of quality 1, the holdout: the exact (Clopper-Pearson) upper bound of the rate at which the steps
+so far reject good texts, all together, has to stay below LIMIT. The first step that fails ends the sequence, so testing
+many steps needs no correction (the order was fixed before the holdout was looked at); testing many strata does, and each
+has a share of DELTA in proportion to its holdout (a weighted Bonferroni correction). So with probability 1 - DELTA, in no
+stratum do the measures reject more than LIMIT of the good texts that pass the base rules.
 """
 
 from __future__ import annotations
@@ -16,6 +19,10 @@ from tracelake.llm.common import cut
 
 #: Greatest rate of false rejection in a stratum by all measures together, and the chance that this fails anywhere.
 LIMIT, DELTA = 0.02, 0.05
+#: Strata are broadcast up to this many.
+BROADCAST_STRATA = 10_000
+#: First hex digits of the MD5 of the ids whose labels make the design fold, an eighth.
+DESIGN = "01"
 # Fixed values of the base rules.
 SPACE, SYMBOLS = " \t\n\u000b\f\r", "#*$%&|<>"
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -95,37 +102,61 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.least(F.lit(1.0), grown)
 
 
+#: All steps by measure and place in its grid.
+STEPS = [(m, i, float(c)) for m, grid in GRID.items() for i, c in enumerate(grid)]
+
+
+def in_order(labelled: DataFrame) -> DataFrame:
+    """(stratum, one column for each step with its place in the stratum's order), from the design fold's counts.
+
+    Ties go to the more lenient cutoff of its grid, then by the measures' names.
+    """
+    count = lambda q: [F.count_if(F.col("design") & (F.col("quality") == q) & (F.col(m) > c)).alias(f"n{q}_{m}_{i}") for m, i, c in STEPS]
+    counts = labelled.groupBy("stratum").agg(*count(0), *count(1))
+    steps = F.array(*[F.struct(F.lit(m).alias("m"), F.lit(i).alias("i"), F.col(f"n1_{m}_{i}").alias("good"), F.col(f"n0_{m}_{i}").alias("bad")) for m, i, _ in STEPS])
+    place = F.row_number().over(Window.partitionBy("stratum").orderBy("good", F.desc("bad"), F.desc("i"), "m"))
+    placed = counts.select("stratum", F.inline(steps)).withColumn("place", place)
+    return placed.groupBy("stratum").agg(*[F.max(F.when((F.col("m") == m) & (F.col("i") == i), F.col("place"))).alias(f"place_{m}_{i}") for m, i, _ in STEPS])
+
+
 def cutoffs(labelled: DataFrame, limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
-    """(stratum, one column per measure): the strictest admissible cutoffs, null where there is none.
+    """(stratum, one column per measure): the least cutoff of the steps taken, null where there is none.
 
-    labelled: stratum and the measures of texts of quality 1 that pass the base rules. Counting is one aggregation with a
-    sum for each measure and cutoff; the bounds are computed on its few rows.
+    labelled: stratum, the measures, quality and design of labelled texts that pass the base rules. A stratum without a
+    holdout takes no step. Counting is one aggregation for each fold; all else is done on rows by stratum and step.
     """
-    sums = [F.sum((F.col(m) > c).cast("long")).alias(f"{m}_{i}") for m, grid in GRID.items() for i, c in enumerate(grid)]
-    counts = labelled.groupBy("stratum").agg(F.count("*").alias("n"), *sums)
-    counts = counts.withColumn("strata", F.count("*").over(Window.partitionBy(F.lit(0))))
-    tests = sum(map(len, GRID.values()))
-    level = F.lit(delta) / (F.col("strata") * tests)
-    chosen = []
-    for m, grid in GRID.items():
-        fits = [F.when(binomial_tail(F.col("n"), F.col(f"{m}_{i}"), limit / len(GRID)) < level, F.lit(float(c))) for i, c in enumerate(grid)]
-        chosen.append(F.coalesce(*fits).alias(f"cut_{m}"))
-    return counts.select("stratum", *chosen)
+    order = in_order(labelled)
+    few = F.broadcast(order) if order.count() <= BROADCAST_STRATA else order
+    holdout = labelled.where(~F.col("design") & (F.col("quality") == 1)).join(few, "stratum")
+    first = F.least(*[F.when(F.col(m) > c, F.col(f"place_{m}_{i}")) for m, i, c in STEPS])
+    counts = holdout.groupBy("stratum", F.coalesce(first, F.lit(len(STEPS) + 1)).alias("place")).agg(F.count("*").alias("k"))
+    # Every step's place, those that no text is the first to fall by included.
+    places = counts.groupBy("stratum").agg(F.sum("k").alias("n"), F.map_from_entries(F.collect_list(F.struct("place", "k"))).alias("by"))
+    places = places.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0))))
+    places = places.select("stratum", "n", "share", "by", F.explode(F.sequence(F.lit(1), F.lit(len(STEPS)))).alias("place"))
+    upto = Window.partitionBy("stratum").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    joint = places.withColumn("k", F.sum(F.coalesce(F.try_element_at("by", "place"), F.lit(0))).over(upto))
+    passed = joint.where((F.col("k") < limit * F.col("n")) & (binomial_tail(F.col("n"), F.col("k"), limit) < delta * F.col("share")))
+    last = passed.groupBy("stratum").agg(F.max("place").alias("last"))
+    cuts = [F.array_min(F.array(*[F.when(F.col(f"place_{m}_{i}") <= F.col("last"), F.lit(c)) for n, i, c in STEPS if n == m])).alias(f"cut_{m}") for m in GRID]
+    return order.join(last, "stratum").select("stratum", *cuts)
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit: float = LIMIT, delta: float = DELTA) -> DataFrame:
     """For each row of docs: doc_id, the counts, base_failed, kept, and the measures' names that reject it.
 
-    A null stratum is a stratum of its own; one without labelled good texts keeps all that pass the base rules. Only
-    narrow rows are checkpointed and shuffled: the text is read once. Repeated rows come out as often as they come in;
-    labels that repeat or lack an id or value count once or not at all.
+    A null stratum is a stratum of its own; one with too few labelled good texts for any step keeps all that pass the base
+    rules. Only narrow rows are checkpointed and shuffled: the text is read once. Repeated rows come out as often as they
+    come in; a label that lacks an id or value doesn't count, and an id with several counts by its largest.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("\u0000null")).alias("stratum"), "text")
     features = cut(counted(rows).withColumn("base_failed", base_failed()).withColumns(_measures()))
-    good = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    limits = cut(cutoffs(features.where(~F.col("base_failed")).join(good, "doc_id", "left_semi"), limit, delta))
+    known = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
+    design = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1).isin(*DESIGN)
+    labelled = cut(features.where(~F.col("base_failed")).join(known, "doc_id").select("stratum", *GRID, "quality", design.alias("design")))
+    limits = cut(cutoffs(labelled, limit, delta))
     # One row for each stratum; broadcast behind a check of their number, else joined by shuffle.
-    named = F.broadcast(limits) if limits.count() <= 10_000 else limits
+    named = F.broadcast(limits) if limits.count() <= BROADCAST_STRATA else limits
     rejects = F.array_compact(F.array(*[F.when(F.col(m) > F.col(f"cut_{m}"), F.lit(m)) for m in GRID]))
     both = features.join(named, "stratum", "left").withColumn("rejected_by", rejects)
     kept = ~F.col("base_failed") & (F.size("rejected_by") == 0)
