@@ -314,6 +314,58 @@ def test_html(spark):
     assert all(n == len(t) for t, n in got.values())
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<html><head><title>t</title><p>one<p>two", "one two"),
+        ("<head><meta charset=utf-8>bare words", "bare words"),
+        ('<div class="layout no-sidebar"><article>in</article></div>', "in"),
+        ('<div id="page" class="post has-comments"><article>in</article></div>', "in"),
+        ('<div class="content-sidebar-wrap"><main>in</main><div>out</div></div>', "in"),
+        ('<form id="aspnetForm"><nav>n</nav><article>in</article></form>', "in"),
+        ('<article>in <article class="comment">mine</article></article>', "in"),
+        ('<article>in</article><section id="comments"><article id="comment-1">mine</article></section>', "in"),
+        ('<main>in<div class="related-posts"><article class="teaser">other</article></div></main>', "in"),
+        ('<article class="post category-advertising social-news">in</article>', "in"),
+        ('<aside><article>out</article></aside><p>in', "in"),
+        ('<ul><li class="ad">out<li>in</ul>', "in"),
+        ('<article><table><tr><td class="ad">out<td>in<tr><td>more</table>', "in more"),
+        ("<article><p>a &lt; b &amp;amp; c&nbsp;&#x41;</p><script>if (a<b) x='</p>'</script></article>", "a < b &amp; c A"),
+        ("<p>" + "word " * 200_000 + "</p>", ("word " * 200_000).strip()),
+        ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+        ("<!-- <p>no</p> --><p>yes", "yes"), ("", ""), (None, ""), ("plain", "plain"),
+    ],
+)
+def test_html_constructs(html, text):
+    assert htmltext.main_text(htmltext.lines_of(html), []) == text
+
+
+def test_html_differs_from_neighbours_whatever_the_partitions(spark):
+    rng, rows = random.Random(8), []
+    for i in range(120):
+        host, path = rng.choice(["a.com", "a.com", "B.com", ""]), rng.choice(["/", "/x/", "/y/"]) + str(rng.randint(0, 30))
+        lines = ["Menu"] + [f"line {rng.randint(0, 12)}" for _ in range(rng.randint(0, 6))] + ["End"]
+        rows.append((i, f"http://{host}{path}" if host else None, "".join(f"<p>{x}</p>" for x in lines), "x", 1))
+    rows += [(200 + i, "http://a.com/x/5", rows[0][2], "y", 2) for i in range(7)] + [(210, "http://a.com/x/5", None, "", 3), (200, "http://a.com/x/5", rows[0][2], "y", 2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host string, part int")
+    place = lambda r: ((r[1] or "").removeprefix("http://").partition("/")[0].lower().encode(), "/" + (r[1] or "http:///").removeprefix("http://").partition("/")[2] if r[1] else "", r[0])
+    content = {r[0]: h.h for r, h in zip(sorted(rows, key=lambda r: r[0]), pages.orderBy("page_id").select(F.xxhash64("html").alias("h")).collect())}
+    order = sorted(rows, key=lambda r: (*place(r), content[r[0]]))
+    want = []
+    for k, r in enumerate(order):
+        near = []
+        for rest in (order[:k][::-1], order[k + 1 :]):
+            other = next((x for x in rest if x[2] != r[2]), None)
+            if other and place(other)[0] == place(r)[0]:
+                near.append(htmltext.lines_of(other[2]))
+        want.append((r[0], htmltext.main_text(htmltext.lines_of(r[2]), near)))
+    for n in (1, 3, 40, 150):
+        got = htmltext.extracted(pages, n).collect()
+        assert sorted((r.page_id, r.text) for r in got) == sorted(want), n
+    assert len({t for _, t in want}) > 60 and any("Menu" not in t for _, t in want)
+    assert htmltext.extracted(pages.limit(0)).count() == 0
+
+
 def test_common_is_a_longest_common_subsequence():
     rng = random.Random(5)
     for _ in range(200):
