@@ -378,15 +378,15 @@ def test_common_is_a_longest_common_subsequence():
 
 
 def test_mixing(docs, rows, empty):
-    got = [r.asDict() for r in mixing.mixed(docs, share=0.6, most_epochs=2).collect()]
+    got = [r.asDict() for r in mixing.chosen(docs, share=0.6, most_epochs=2).collect()]
     tokens = {r[0]: len(words(r[1])) for r in rows}
     supply, used = {}, {}
     for i, t, lang, source, *_ in rows:
         leaf = ("books" if zlib.crc32(source.encode()) % 3 == 0 else "web", lang or "\0null", source)
         supply[leaf] = supply.get(leaf, 0) + len(words(t))
     for r in got:
-        leaf = (r["_domain"], r["_lang"], r["_source"])
-        used[leaf] = used.get(leaf, 0) + r["_tokens"]
+        leaf = (r["domain"], r["lang"] or "\0null", r["source"])
+        used[leaf] = used.get(leaf, 0) + r["n_tokens"]
     total = 0.6 * sum(supply.values())
 
     def fill(nodes, given):
@@ -411,7 +411,38 @@ def test_mixing(docs, rows, empty):
             budget |= fill({k: (weigh(level, k[-1]), sum(2.0 * s for leaf, s in supply.items() if leaf[: d + 1] == k)) for k in kids}, budget[parent])
     for leaf, s in supply.items():
         assert used.get(leaf, 0) <= budget[leaf] + 1e-6 and used.get(leaf, 0) > budget[leaf] - max(9001, max(tokens.values()))
-    assert all(r["epoch"] in (0, 1) for r in got) and mixing.mixed(empty).count() == 0
+    assert all(r["epoch"] in (0, 1) for r in got) and mixing.mixed(empty).count() == 0 and mixing.chosen(empty).count() == 0
+
+
+@pytest.mark.parametrize("sorted_rows", [4096, 3])
+def test_mixing_takes_prefixes_of_the_seeded_order(spark, docs, monkeypatch, sorted_rows):
+    """Of every leaf the rows of whole epochs and a prefix of the next: the longest within the budget. Null ids and columns of any name take part."""
+    monkeypatch.setattr(mixing, "SORTED", sorted_rows)
+    names = ["epochs", "prefix", "last", "place", "epoch", "domain", "_tokens", "_row", "_domain", "key"]
+    many = docs.unionByName(docs.withColumns({"doc_id": F.lit(None).cast("long"), "text": F.concat("text", F.lit(" more"))}))
+    many = many.withColumns({c: F.lit(7) for c in names})
+    got = mixing.mixed(many, share=0.6)
+    assert sorted(got.columns) == sorted(many.columns)
+    rows = mixing.with_leaf(many, mixing._n_words().alias("n")).where("n > 0").withColumn("place0", mixing.place_of(F.lit(0), mixing.SEED)).withColumn("place1", mixing.place_of(F.lit(1), mixing.SEED)).collect()
+    budget = {(r._domain, r._lang, r._source): r for r in mixing.plan(mixing.with_leaf(many, mixing._n_words().alias("_tokens")).where("_tokens > 0"), share=0.6).collect()}
+    want = []
+    for leaf, p in budget.items():
+        own = [r for r in rows if (r._domain, r._lang, r._source) == leaf]
+        want += [(r.doc_id, r._hash, e) for r in own for e in range(p.epochs)]
+        place = (lambda r: r.place0) if p.epochs == 0 else (lambda r: r.place1)
+        order = (lambda r: (place(r).key % 2**64, place(r).id is not None, place(r).id or 0, place(r).hash)) if p.depth else (lambda r: (place(r).key, place(r).id is not None, place(r).id or 0, place(r).hash))
+        rest, kin = p.budget - p.epochs * p.supply, {}
+        for r in sorted(own, key=order):
+            kin.setdefault((r.doc_id, r._hash), []).append(r)
+        for same in kin.values():
+            rest -= sum(r.n for r in same)
+            if rest < 0 or p.epochs > 1:
+                break
+            want += [(r.doc_id, r._hash, p.epochs) for r in same]
+    assert sorted(((r.doc_id, r.h, r.epoch) for r in got.select("doc_id", F.xxhash64("text").alias("h"), "epoch").collect()), key=str) == sorted(want, key=str)
+    assert any(p.depth for p in budget.values()) == (sorted_rows == 3)
+    taken = mixing.chosen(many, share=0.6)
+    assert taken.count() == len(want) and got.select(*names[:4]).distinct().count() == 1
 
 
 def test_packing_round_trip(spark, docs, rows, empty):

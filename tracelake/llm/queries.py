@@ -30,8 +30,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    taken = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    return taken.select("doc_id", "epoch", F.col("_domain").alias("domain"), "lang", "source", F.col("_tokens").alias("n_tokens"))
+    return mixing.chosen(table(spark, sf_dir, "documents"))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
