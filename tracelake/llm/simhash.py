@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions.ship import map_arrow
@@ -26,6 +26,10 @@ from tracelake.llm.components import connected_components
 # The generator polynomial of the [23, 12] Golay code, its block length and its covering radius.
 GOLAY, BLOCK, RADIUS = 0b101011100011, 23, 3
 THRESHOLD, SHINGLE, SEED = 2, 3, 42
+#: Shingles of one text that are hashed at once.
+CHUNK = 1 << 16
+#: Narrow rows are broadcast up to so many, and joined by shuffles beyond.
+BROADCAST_ROWS = 500_000
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -33,19 +37,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
-    whole = b" ".join(words)
-    if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(whole, SEED)]
-    else:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths + 1) - 1
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(whole[i:j], SEED) for i, j in zip((ends - lengths)[: 1 - shingle].tolist(), ends[shingle - 1 :].tolist())]
-    set_in = np.zeros(64, np.int64)
-    array = np.array(hashes, np.uint64)
-    for i in range(0, len(array), 1 << 16):
-        set_in += np.unpackbits(array[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * set_in > len(array), bitorder="little").view(np.uint64)[0])
+    digest, set_in = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
+    n = max(1, len(words) - shingle + 1)
+    for at in range(0, n, CHUNK):  # bounds the temporary lists, however long the text is
+        own = words[at : at + CHUNK + shingle - 1] if n > 1 else words
+        whole = b" ".join(own)
+        if n == 1:
+            hashes = [digest(whole, SEED)]
+        else:
+            lengths = np.fromiter(map(len, own), np.int64, len(own))
+            ends = np.cumsum(lengths + 1) - 1
+            hashes = [digest(whole[i:j], SEED) for i, j in zip((ends - lengths)[: len(own) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())]
+        set_in += np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * set_in > n, bitorder="little").view(np.uint64)[0])
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,17 +150,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return _with_components(docs).select("doc_id", "fp", "component_id")
 
 
+def narrow(rows: DataFrame) -> DataFrame:
+    """Narrow checkpointed rows: broadcast behind a check of their number, else joined by shuffle."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def keep_first(docs: DataFrame, rooted: DataFrame) -> DataFrame:
     """One row of docs for each root of `rooted` (doc_id, text_hash, root): the one with the least id, null ids last, then text hash.
 
-    Repeated rows count as copies. Columns and their order stay.
+    Repeated rows count as copies: of those of one id and text, which only differ in other columns, the one with the least
+    hash stays. Columns, of any name, and their order stay.
     """
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first")
-    kept = rooted.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
-    rows = docs.withColumn("_hash", F.xxhash64("text"))
-    rows = rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (rows["_hash"] == kept["_hash"]), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(F.col("doc_id").cast("long"), "_hash").orderBy(F.xxhash64(*docs.columns)))
-    return rows.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
+    counts = rooted.groupBy("root", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "n")).alias("first")
+    kept = counts.groupBy("root").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"), F.col("first.n").alias("_n"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    rows = rows.join(narrow(cut(kept)), F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")))
+    repeated = rows.where("_n > 1").groupBy("id", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return rows.where("_n = 1").select("row").unionByName(repeated.select("row")).select("row.*")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
