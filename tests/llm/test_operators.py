@@ -224,9 +224,11 @@ def test_toxicity_points_at_sentences(spark):
 def test_quality_learns_from_whole_texts():
     import pyarrow as pa
 
-    text = "ab cd ab " * 5000
+    text, column = "ab cd ab " * 5000, lambda x: pa.array([x], pa.string())
     (got,) = quality._training_features([pa.RecordBatch.from_pydict({"text": [text], "y": pa.array([1], pa.int32()), "hash": [5]})])
-    assert sum(got.column("counts")[0].as_py()) == sum(len(ids) for ids, _ in quality.features(pa.array([text]))) > 100_000
+    ids, shares = (np.frombuffer(got.column(c)[0].as_py(), k) for c, k in (("ids", np.int32), ("shares", np.float32)))
+    found = np.concatenate([ids for ids, _ in quality.features(column(text))])
+    assert len(found) > 100_000 and np.allclose(shares, np.bincount(found)[ids] / len(found)) and set(ids) == set(found)
 
 
 def test_rules(docs, rows, spark, empty):

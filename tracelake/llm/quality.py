@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions.ship import map_arrow
-from tracelake.llm.common import SPACES, Rolling, held_out, joined, lookup, mixed, pieces, spans, training_rows
+from tracelake.llm.common import SPACES, Rolling, cut, held_out, joined, lookup, mixed, pieces, spans, training_rows
 
 #: Buckets of the hashed vectors (log2), their length, the sizes of the n-grams in bytes, and how far apart paired words are.
 LOG_BUCKETS, DIM, GRAMS, APART = 17, 8, (3, 4), (1, 2, 3)
-#: Bound of the training sample: labelled texts, learnt from in whole, as counts by bucket.
+#: Bound of the training sample: labelled texts, learnt from in whole, as shares by bucket.
 TRAIN_TEXTS = 5000
 THRESHOLD = 0.3
 
@@ -58,12 +58,14 @@ def _bucket(hashes: np.ndarray, kind: int) -> np.ndarray:
 
 
 def _training_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text's buckets with how often they occur."""
+    """Each text's buckets and their shares of its features, as the bytes of 32-bit numbers."""
     for piece in pieces(batches):
-        found = features(piece.column("text"))
-        rows = [np.unique(np.concatenate([ids[at[i] : at[i + 1]] for ids, at in found]), return_counts=True) for i in range(piece.num_rows)]
-        ids, counts = (pa.array([r[k].astype(np.int32) for r in rows], pa.list_(pa.int32())) for k in range(2))
-        yield pa.RecordBatch.from_arrays([piece.column("y"), piece.column("hash"), ids, counts], ["y", "hash", "ids", "counts"])
+        found, ids, shares = features(piece.column("text")), [], []
+        for i in range(piece.num_rows):
+            own, counts = np.unique(np.concatenate([ids_[at[i] : at[i + 1]] for ids_, at in found]), return_counts=True)
+            ids.append(own.astype(np.int32).tobytes())
+            shares.append((counts / max(1, counts.sum())).astype(np.float32).tobytes())
+        yield pa.RecordBatch.from_arrays([piece.column("y"), piece.column("hash"), pa.array(ids, pa.binary()), pa.array(shares, pa.binary())], ["y", "hash", "ids", "shares"])
 
 
 @dataclass
@@ -85,7 +87,7 @@ class Model:
 
 
 def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 6, rate: float = 1.0, seed: int = 7) -> Model:
-    """Stochastic gradient descent over (label, buckets, counts) rows, with a rate that falls to zero. No rows, or one label: a constant."""
+    """Stochastic gradient descent over (label, buckets, shares) rows, with a rate that falls to zero. No rows, or one label: a constant."""
     labels = np.array([y for y, *_ in rows], np.int64)
     empty = (labels.sum() + 1) / (len(labels) + 2)
     if len(np.unique(labels)) < 2:
@@ -93,11 +95,10 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 6, rate:
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << LOG_BUCKETS, DIM)).astype(np.float32)
     output, bias = np.zeros((DIM, 2)), np.log([1 - empty, empty])
-    shares = [(counts / max(1, counts.sum())).astype(np.float32) for _, _, counts in rows]
     steps, done = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            ids, share = rows[i][1], shares[i]
+            _, ids, share = rows[i]
             done += 1
             if not len(ids):
                 continue
@@ -117,12 +118,10 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 6, rate:
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS) -> Model:
     """A model from at most `most` labelled rows outside the held-out fold; see training_rows."""
-    sample = map_arrow(training_rows(docs, labels, "quality", most), _training_features, "y int, hash long, ids array<int>, counts array<int>").toArrow()
-    rows = []
-    for batch in sample.to_batches():
-        y, hashes = batch.column("y").to_pylist(), batch.column("hash").to_pylist()
-        rows += [(h, y[i], ids.values.to_numpy(), counts.values.to_numpy()) for i, (h, ids, counts) in enumerate(zip(hashes, batch.column("ids"), batch.column("counts")))]
-    return train([r[1:] for r in sorted(rows, key=lambda r: (r[1], r[0]))])
+    sample = cut(map_arrow(training_rows(docs, labels, "quality", most), _training_features, "y int, hash long, ids binary, shares binary"))
+    # A partition at a time, as the driver's JVM need not hold the sample too.
+    rows = [(r.y, r.hash, np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32)) for r in sample.toLocalIterator()]
+    return train([(y, ids, shares) for y, _, ids, shares in sorted(rows, key=lambda r: r[:2])])
 
 
 def _scored(model):
