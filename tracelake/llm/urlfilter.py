@@ -31,8 +31,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
 
     Every distinct (host, path) is judged once: it is expanded into each suffix of the host's labels with each prefix of
     the path that is as long as some rule's path; the expressions meet the rules by the first digits of their SHA-256, and
-    the full digests are compared. The verdicts return to the pages by an equi-join, which splits hot hosts. Null urls have
-    an empty host and path. Columns of pages named host, path, rule or verdict are replaced.
+    the full digests are compared. The verdicts return to the pages by an equi-join on host and path, so that a hot host is
+    split by its paths; pages without a host or path fit no rule and take no part in it. Null urls have an empty host and
+    path. Columns of pages named host, path, rule or verdict are replaced.
     """
     host, path = host_and_path(F.col("url"))
     rows = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host, "path": path})
@@ -50,7 +51,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     labels = F.split("host", r"\.", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.array_distinct(F.transform(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>"), lambda n: F.when(n <= F.length("path"), F.substring(F.col("path"), F.lit(1), n))))
-    urls = rows.where("host <> '' and path <> ''").groupBy("host", "path").agg(F.lit(1).alias("_one"))
+    judged = (F.col("host") != "") & (F.col("path") != "")
+    urls = rows.where(judged).groupBy("host", "path").agg(F.lit(1).alias("_one"))
     expressions = (
         urls.select("host", "path", F.explode(F.array_compact(prefixes)).alias("prefix"), suffixes.alias("suffixes"))
         .select("host", "path", "prefix", F.explode("suffixes").alias("suffix"))
@@ -60,7 +62,9 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     fits = expressions.join(known, (F.col("seen_short") == F.col("short")) & (F.col("seen") == F.col("digest")))
     best = F.max_by(F.struct("rule", "verdict"), F.struct(F.length("rule"), "host_length", F.col("verdict") == "block")).alias("best")
     verdicts = fits.groupBy("host", "path").agg(best).select("host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
-    return rows.join(verdicts, ["host", "path"], "left").select(*[c for c in rows.columns], "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    found = rows.where(judged).join(verdicts, ["host", "path"], "left").select(*rows.columns, "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    rest = rows.where(~judged).select(*rows.columns, F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    return found.unionByName(rest)
 
 
 def default_rules(spark) -> DataFrame:
