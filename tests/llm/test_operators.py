@@ -295,6 +295,35 @@ def test_binomial_tail(spark):
         assert abs(got - sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))) < 1e-9
 
 
+def test_sketch_size_follows_the_texts():
+    sizes = [substring.log_cells_for(n) for n in (0, 10**8, 10**9, 10**10, 10**13)]
+    assert sizes == sorted(sizes) and sizes[0] == substring.LEAST_LOG_CELLS and sizes[-1] == substring.MOST_LOG_CELLS and len(set(sizes)) > 3
+
+
+def test_keys_of_equal_windows_are_equal_wherever_they_stand():
+    import pyarrow as pa
+
+    from tracelake.llm.common import Words
+
+    rng = random.Random(9)
+    passage = " ".join(f"w{rng.randrange(50)}" for _ in range(60))
+    found = []
+    for before in (0, 7, 5000):
+        at, gram_at, grams = substring._windows(Words(pa.array([" ".join(["x"] * before + [passage])])), 35)
+        found.append(grams[gram_at[before:]].tolist())
+    assert found[0] == found[1] == found[2] and len(found[0]) == 26
+
+
+def test_urls_repeated_long_and_with_equal_rules(spark):
+    rules = spark.createDataFrame([("a.com/", "block"), ("a.com/", "allow"), ("b.a.com/x/", "allow"), ("a.com/x/yz", "block"), (None, "block"), ("nopath", "block")], "rule string, verdict string")
+    long = "http://a.com/" + "p/" * 50_000
+    urls = [long, long, "http://b.a.com/x/yz", "http://c.a.com/x/yz", "http://a.com", None, "http:///x/"] + ["http://h.net/same"] * 300
+    got = urlfilter.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules)
+    rows = {r.page_id: (r.rule, r.verdict) for r in got.collect()}
+    assert len(rows) == got.count() == len(urls) and rows[0] == rows[1] == ("a.com/", "block")
+    assert rows[2] == ("b.a.com/x/", "allow") and rows[3] == ("a.com/x/yz", "block") and {rows[i] for i in range(4, len(urls))} == {(None, "allow")}
+
+
 def test_urls(spark):
     urls = ["http://WWW.Example.com/en/x?y", "https://a.net/es/", "http://b.org", "no url", None, "x://example.com/en/#f", "http://sub.example.com/", "http://notexample.com/en/", "http://a.net/es", "http://a.net/es/"]
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)], "page_id long, url string, rule int")

@@ -27,16 +27,24 @@ from tracelake.functions.ship import map_arrow
 from tracelake.llm.common import Rolling, Words, mixed, pieces
 
 LENGTH, GRAM = 35, 8
-#: Rows of the sketch; log2 of the cells in each row; cells in a block. 3 rows of 2**25 cells take 12 MB where broadcast.
-#: The size is fixed, which bounds the broadcast: more data make more false alarms for the second pass, and lose nothing.
-DEPTH, LOG_CELLS, BLOCK_CELLS = 3, 25, 1 << 19
+#: Rows of the sketch, and cells in a block.
+DEPTH, BLOCK_CELLS = 3, 1 << 19
+#: A row has about CELLS_EACH cells for each key place that texts of so many bytes have, at least and at most so many (log2).
+#: 3 rows of 2**27 cells take 96 MB where broadcast, which bounds it: more data make more false alarms for the second pass,
+#: and lose nothing.
+CELLS_EACH, BYTES_EACH, LEAST_LOG_CELLS, MOST_LOG_CELLS = 4, 144, 20, 27
 #: A key counted so often in one partition, or in so many partitions, counts as hot.
 HOT = 64
 _SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def _cells(keys: np.ndarray, row: int) -> np.ndarray:
-    return ((keys * _SALTS[row]) >> np.uint64(64 - LOG_CELLS)).astype(np.int64)
+def _cells(keys: np.ndarray, row: int, log_cells: int) -> np.ndarray:
+    return ((keys * _SALTS[row]) >> np.uint64(64 - log_cells)).astype(np.int64)
+
+
+def log_cells_for(size: int) -> int:
+    """Log2 of the cells of a row for texts of `size` bytes in all."""
+    return min(MOST_LOG_CELLS, max(LEAST_LOG_CELLS, round(np.log2(1 + CELLS_EACH * size / BYTES_EACH))))
 
 
 def _windows(words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,17 +56,17 @@ def _windows(words: Words, length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     grams = np.zeros(n, np.uint64)
     inner = Rolling(words.hash).grams(min(GRAM, length))
     grams[: len(inner)] = inner
-    place = np.uint64(max(1, n).bit_length())
-    least = (grams >> place << place) | np.arange(n, dtype=np.uint64)
+    least = np.arange(n)
     span, done = length - min(GRAM, length) + 1, 1
     while done < span:
         step = min(done, span - done)
-        least[: n - step] = np.minimum(least[: n - step], least[step:])
+        left, right = least[: n - step], least[step:]
+        least[: n - step] = np.where(grams[right] < grams[left], right, left)
         done += step
-    return at, (least[at] & ((np.uint64(1) << place) - np.uint64(1))).astype(np.int64), grams
+    return at, least[at], grams
 
 
-def _sketched(length: int):
+def _sketched(length: int, log_cells: int):
     """One sketch for each partition: for each block of cells, which are at least 1, at least 2 and at least HOT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,9 +78,9 @@ def _sketched(length: int):
                 found.append(grams[gram_at[np.diff(gram_at, prepend=-1) != 0]])
         keys, repeats = np.unique(np.concatenate(found), return_counts=True)
         for row in range(DEPTH if len(keys) else 0):
-            cells, inverse = np.unique(_cells(keys, row), return_inverse=True)
+            cells, inverse = np.unique(_cells(keys, row, log_cells), return_inverse=True)
             counts = np.bincount(inverse, weights=repeats)
-            edges = np.searchsorted(cells, np.arange(0, (1 << LOG_CELLS) + 1, BLOCK_CELLS))
+            edges = np.searchsorted(cells, np.arange(0, (1 << log_cells) + 1, BLOCK_CELLS))
             for block, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
                 if i < j:
                     levels = []
@@ -117,10 +125,15 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def sketch(docs: DataFrame, length: int = LENGTH) -> np.ndarray:
-    """For each cell of the merged sketch of all texts, a bit for a count of two or more, and one for HOT. Its size is fixed."""
-    parts = map_arrow(docs.select("text"), _sketched(length), "block int, once binary, twice binary, hot binary")
-    blocks = (1 << LOG_CELLS) // BLOCK_CELLS
-    merged = map_arrow(parts.repartition(min(DEPTH * blocks, 48), "block"), _merged, "block int, twice binary, hot binary")
+    """For each cell of the merged sketch of all texts, a bit for a count of two or more, and one for HOT.
+
+    Its size follows from the texts' and is bounded; as many tasks merge it as it has blocks or the session shuffles into.
+    """
+    log_cells = log_cells_for(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    parts = map_arrow(docs.select("text"), _sketched(length, log_cells), "block int, once binary, twice binary, hot binary")
+    blocks = (1 << log_cells) // BLOCK_CELLS
+    tasks = min(DEPTH * blocks, max(48, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    merged = map_arrow(parts.repartition(tasks, "block"), _merged, "block int, twice binary, hot binary")
     bits = np.zeros((2, DEPTH, blocks, BLOCK_CELLS >> 3), np.uint8)
     for x in merged.toLocalIterator():
         bits[0, x.block >> 16, x.block & 0xFFFF] = np.frombuffer(x.twice, np.uint8)
@@ -130,9 +143,9 @@ def sketch(docs: DataFrame, length: int = LENGTH) -> np.ndarray:
 
 def _counted(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Whether all of a key's cells have their bit."""
-    found = np.ones(len(keys), bool)
+    found, log_cells = np.ones(len(keys), bool), bits.shape[-1].bit_length() + 2
     for row in range(DEPTH):
-        cells = _cells(keys, row)
+        cells = _cells(keys, row, log_cells)
         found &= (bits[row, cells >> 3] >> (cells & 7).astype(np.uint8) & 1).astype(bool)
     return found
 
