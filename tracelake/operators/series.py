@@ -71,6 +71,12 @@ def moving_average(values: Column, span: int) -> Column:
     return F.transform(values, at)
 
 
+def smoothed_energy(values: Column, span: int) -> Column:
+    """Squares over their sum, averaged as by moving_average."""
+    shares = let(F.transform(values, lambda v: v * v), lambda x: let(_sum(x), lambda s: F.transform(x, lambda v: ratio(v, s))))
+    return let(shares, lambda x: moving_average(x, span))
+
+
 def lagged_products(values: Column, lags: int) -> Column:
     """Sum of v(i) v(i + lag) over sum of squares, for lags 0 to `lags`; the series is not centred."""
     square = _sum(F.transform(values, lambda v: v * v))
