@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracelake.operators import models, space
+from tracelake.operators import graphs, models, space
 from tracelake.plans import catalogue
 from tracelake.sources import logs
 
@@ -56,7 +56,7 @@ def test_near_points_by_brute_force(spark):
 
 def test_root_paths(spark):
     df = spark.createDataFrame([(1, None), (2, 1), (3, 2), (4, 1), (5, 6), (6, 5)], "node long, parent long")
-    got = {r.node: (r.depth, r.path) for r in space.root_paths(df).collect()}
+    got = {r.node: (r.depth, r.path) for r in graphs.root_paths(df).collect()}
     assert got == {1: (0, [1]), 2: (1, [1, 2]), 3: (2, [1, 2, 3]), 4: (1, [1, 4])}
 
 

@@ -109,17 +109,18 @@ def lag_columns(df: DataFrame, key: str, order: str, value: str, lags: range, pa
     return df.select("*", *[F.coalesce(F.lag(value, k).over(w), F.lit(pad)).alias(name(k)) for k in lags])
 
 
-def interpolated(samples: DataFrame, key: str, t: str, value: str, step: int) -> DataFrame:
+def interpolated(samples: DataFrame, key: str | list[str], t: str, value: str, step: int) -> DataFrame:
     """Linear interpolation of each key's samples on multiples of `step` (key, t, v), null outside the samples' range.
 
     Each pair of neighbouring samples yields the grid points from the first up to, not including, the second: no join. Of
     samples at one time the first by value counts.
     """
-    one = samples.groupBy(key, t).agg(F.min(value).alias("_v"))
-    w = Window.partitionBy(key).orderBy(t)
+    key = [key] if isinstance(key, str) else key
+    one = samples.groupBy(*key, t).agg(F.min(value).alias("_v"))
+    w = Window.partitionBy(*key).orderBy(t)
     pairs = one.withColumns({"_t2": F.lead(t).over(w), "_v2": F.lead("_v").over(w)})
     first = F.ceil(F.col(t) / step).cast("long")
     last = F.when(F.col("_t2").isNull(), F.floor(F.col(t) / step)).otherwise(F.ceil(F.col("_t2") / step) - 1).cast("long")
     grid = pairs.where(first <= last).withColumn("_g", F.explode(F.sequence(first, last))).withColumn("_g", F.col("_g") * step)
     v = F.when(F.col("_g") == F.col(t), F.col("_v")).otherwise(F.col("_v") + (F.col("_v2") - F.col("_v")) * ratio(F.col("_g") - F.col(t), F.col("_t2") - F.col(t)))
-    return grid.select(key, F.col("_g").alias("t"), v.alias("v"))
+    return grid.select(*key, F.col("_g").alias("t"), v.alias("v"))

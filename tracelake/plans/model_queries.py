@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracelake.operators import models, space
+from tracelake.operators import graphs, models, space
 from tracelake.plans.signal_queries import r6
 from tracelake.plans.table_queries import _LONG
 from tracelake.streaming import windows
@@ -49,7 +49,7 @@ def path_to_root(spark, sf_dir):
     below = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat(F.lit("n:"), "n_name").alias("node"), F.concat(F.lit("r:"), "r_name").alias("parent"))
     nodes = region.select(F.concat(F.lit("r:"), "r_name").alias("node"), F.lit(None).cast("string").alias("parent")).unionByName(below)
     bare = lambda c: F.substring(c, 3, 1000)
-    return space.root_paths(nodes).select(bare(F.col("node")).alias("name"), F.col("depth").cast("long").alias("depth"), F.array_join(F.transform("path", bare), "/").alias("path"))
+    return graphs.root_paths(nodes).select(bare(F.col("node")).alias("name"), F.col("depth").cast("long").alias("depth"), F.array_join(F.transform("path", bare), "/").alias("path"))
 
 
 @query(f"""WITH {_LONG}, t AS (SELECT i, avg(v) AS m FROM e GROUP BY 1), o AS (SELECT unnest(range(-5, 6)) AS shift),
