@@ -20,7 +20,7 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(catalogue.ORACLE))
 def test_matches_sql(spark, name):
     db = duckdb.connect()
-    for t in ("events", "embeddings", "lineitem", "documents", "labels", "pages", "part", "nation", "region"):
+    for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "labels"):
         db.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got = catalogue.QUERIES[name](spark, SF)
     want = db.execute(catalogue.ORACLE[name])
