@@ -64,3 +64,13 @@ def test_stim_indicator_by_user_leaves_no_signup_out(spark):
     got = catalogue.QUERIES["stim_indicator_by_user"](spark, SF)
     lit = {r.user_id for r in got.where("stim = 1").select("user_id").distinct().collect()}
     assert lit == {r.user_id for r in signups.select("user_id").distinct().collect()} and any(u % 50 for u in lit)
+
+
+def test_stim_indicator_takes_all_signups_over_the_tables_hours(spark):
+    hour = 3_600_000_000
+    db = duckdb.connect()
+    times = db.execute(f"select epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01'), event_type from '{SF}/events.parquet'").fetchall()
+    hours = range(min(t for t, _ in times) // hour, max(t for t, _ in times) // hour + 5)
+    lit = {h for t, kind in times if kind == "signup" for h in range(-(-t // hour), -(-(t + 4 * hour) // hour))}
+    got = {r.hour: r.stim for r in catalogue.QUERIES["stim_indicator"](spark, SF).collect()}
+    assert got == {h: int(h in lit) for h in hours}

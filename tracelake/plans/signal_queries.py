@@ -114,30 +114,41 @@ def nearest_frame(spark, sf_dir):
     return E.nearest(left, right, "user_id", "t", "frame").select("event_id", "near_t", F.col("near_frame").alias("near_event_id"))
 
 
-@query(f"""WITH {_EV}, h AS (SELECT unnest(range(0, 720)) AS hour), s AS (SELECT t FROM ev WHERE event_type = 'signup' AND user_id % 50 = 0)
+_HOUR = 3_600_000_000
+_HOURS = f"""{_EV}, e AS (SELECT floor(min(t) / 3600000000)::BIGINT AS a, floor(max(t) / 3600000000)::BIGINT + 4 AS b FROM ev), h AS (SELECT unnest(range(a, b + 1)) AS hour FROM e)"""
+
+
+def _hours(ev: DataFrame) -> DataFrame:
+    """The hours from the first event to four past the last, by number."""
+    ends = ev.agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a is not null")
+    return ends.select(F.explode(F.sequence(F.floor(F.col("a") / _HOUR).cast("long"), F.floor(F.col("b") / _HOUR).cast("long") + 4)).alias("hour"))
+
+
+def _lit_hours(signups: DataFrame, *key: str) -> DataFrame:
+    """The hours that start within the four hours from a signup's time on, each once by key."""
+    first, end = (F.ceil((F.col("t") + h * _HOUR) / _HOUR).cast("long") for h in (0, 4))
+    return signups.select(*key, F.explode(F.sequence(first, end - 1)).alias("hour")).distinct().withColumn("stim", F.lit(1))
+
+
+@query(f"""WITH {_HOURS}, s AS (SELECT t FROM ev WHERE event_type = 'signup')
 SELECT hour::BIGINT AS hour, CASE WHEN EXISTS (SELECT 1 FROM s WHERE h.hour * 3600000000 >= s.t AND h.hour * 3600000000 < s.t + 4 * 3600000000) THEN 1 ELSE 0 END AS stim FROM h""")
 def stim_indicator(spark, sf_dir):
-    hour = 3_600_000_000
-    s = _events(spark, sf_dir).where("event_type = 'signup' and user_id % 50 = 0")
-    first = F.ceil(F.col("t") / hour).cast("long")
-    on = s.select(F.explode(F.sequence(first, F.ceil((F.col("t") + 4 * hour) / hour).cast("long") - 1)).alias("hour")).distinct().withColumn("stim", F.lit(1))
-    return spark.range(720).select(F.col("id").alias("hour")).join(on, "hour", "left").select("hour", F.coalesce("stim", F.lit(0)).alias("stim"))
+    ev = _events(spark, sf_dir)
+    on = _lit_hours(ev.where("event_type = 'signup'"))
+    return _hours(ev).join(on, "hour", "left").select("hour", F.coalesce("stim", F.lit(0)).alias("stim"))
 
 
-@query(f"""WITH {_EV}, e AS (SELECT floor(min(t) / 3600000000)::BIGINT AS a, floor(max(t) / 3600000000)::BIGINT + 4 AS b FROM ev), h AS (SELECT unnest(range(a, b + 1)) AS hour FROM e),
-s AS (SELECT user_id, t FROM ev WHERE event_type = 'signup'), u AS (SELECT DISTINCT user_id FROM s)
+@query(f"""WITH {_HOURS}, s AS (SELECT user_id, t FROM ev WHERE event_type = 'signup'), u AS (SELECT DISTINCT user_id FROM s)
 SELECT u.user_id, h.hour, CASE WHEN EXISTS (SELECT 1 FROM s WHERE s.user_id IS NOT DISTINCT FROM u.user_id AND h.hour * 3600000000 >= s.t AND h.hour * 3600000000 < s.t + 4 * 3600000000) THEN 1 ELSE 0 END AS stim FROM u, h""")
 def stim_indicator_by_user(spark, sf_dir):
-    hour = 3_600_000_000
     ev = _events(spark, sf_dir)
-    hours = ev.agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a is not null")
-    hours = hours.select(F.explode(F.sequence(F.floor(F.col("a") / hour).cast("long"), F.floor(F.col("b") / hour).cast("long") + 4)).alias("hour"))
     s = ev.where("event_type = 'signup'")
-    first = F.ceil(F.col("t") / hour).cast("long")
-    on = s.select("user_id", F.explode(F.sequence(first, F.ceil((F.col("t") + 4 * hour) / hour).cast("long") - 1)).alias("hour")).distinct().withColumn("stim", F.lit(1))
-    grid = s.select("user_id").distinct().crossJoin(F.broadcast(hours)).alias("g")
+    users, ends = s.select("user_id").distinct(), ev.agg(F.min("t").alias("a"), F.max("t").alias("b"))
+    # Each user's row unrolls its own hours: the two ends are one row, so this join is a lookup.
+    a, b = (F.floor(F.col(c) / _HOUR).cast("long") for c in ("a", "b"))
+    grid = users.join(F.broadcast(ends)).select("user_id", F.explode(F.sequence(a, b + 4)).alias("hour")).alias("g")
     same = F.col("g.user_id").eqNullSafe(F.col("o.user_id")) & (F.col("g.hour") == F.col("o.hour"))
-    return grid.join(on.alias("o"), same, "left").select("g.user_id", "g.hour", F.coalesce("stim", F.lit(0)).alias("stim"))
+    return grid.join(_lit_hours(s, "user_id").alias("o"), same, "left").select("g.user_id", "g.hour", F.coalesce("stim", F.lit(0)).alias("stim"))
 
 
 @query(f"""WITH {_EV} SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY t) AS trial, row_number() OVER (PARTITION BY user_id, event_type ORDER BY t) AS occurrence, lead(t) OVER (PARTITION BY user_id ORDER BY t) - 1 AS "end" FROM ev""")
