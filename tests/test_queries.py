@@ -74,3 +74,28 @@ def test_stim_indicator_takes_all_signups_over_the_tables_hours(spark):
     lit = {h for t, kind in times if kind == "signup" for h in range(-(-t // hour), -(-(t + 4 * hour) // hour))}
     got = {r.hour: r.stim for r in catalogue.QUERIES["stim_indicator"](spark, SF).collect()}
     assert got == {h: int(h in lit) for h in hours}
+
+
+def test_running_totals_do_not_depend_on_the_number_of_ranges(spark):
+    rows = [(f, v, v % 7) for f in (None, "a", "b") for v in range(40)] + [("a", 3, 1), ("b", None, 2)]
+    df = spark.createDataFrame(rows, "f string, v int, n int")
+    place = lambda v: -1 if v is None else v
+    for down, ranges in ((False, None), (True, None), (False, 7), (True, 7)):
+        got = stats.running(stats.in_ranges(df, ["f"], ["v"], ranges), ["f"], ["v"], "s", F.col("n"), down=down)
+        assert not ranges or got.select("_block").distinct().count() > 1
+        want = [(f, v, n, sum(m for g, u, m in rows if g == f and (place(u) >= place(v) if down else place(u) <= place(v)))) for f, v, n in rows]
+        assert sorted(got.select("f", "v", "n", "s").collect(), key=str) == sorted((spark.createDataFrame(want, "f string, v int, n int, s long").collect()), key=str)
+
+
+def test_corrections_of_nulls_ties_and_empty_tables(spark):
+    df = spark.createDataFrame([("a", 0.01), ("a", 0.01), ("a", None), (None, 0.5), ("b", None)], "f string, p double")
+    got = {(r.f, r.p): (r.adjusted, r.critical_p, r.reject) for r in stats.false_discovery(df, ["f"], "p").collect()}
+    assert got == {("a", 0.01): (0.01, 0.01, True), ("a", None): (None, 0.01, None), (None, 0.5): (0.5, 0.0, False), ("b", None): (None, 0.0, None)}
+    assert stats.false_discovery(df, ["f"], "p").count() == 5
+    assert stats.false_discovery(df.where("false"), ["f"], "p").count() == stats.holm(df.where("false"), ["f"], "p", "f").count() == 0
+
+
+def test_harmonic_series_beyond_its_switch(spark):
+    for n in (0, 1, 1000, 1001, 50_000):
+        got = spark.range(1).select(stats.harmonic(F.lit(n).cast("long")).alias("h")).first().h
+        assert abs(got - sum(1 / i for i in range(1, n + 1))) < 1e-11
