@@ -116,12 +116,25 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], epochs: int = 6, rate:
     return Model((vectors @ (output[:, 1] - output[:, 0])).astype(np.float32), float(bias[1] - bias[0]), float(empty))
 
 
+def _trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The model of all rows of the batches, as one row."""
+    rows = []
+    for batch in batches:
+        y, text_hash, ids, shares = (batch.column(c) for c in ("y", "hash", "ids", "shares"))
+        for i in range(batch.num_rows):
+            rows.append((y[i].as_py(), text_hash[i].as_py(), np.frombuffer(ids[i].as_py(), np.int32), np.frombuffer(shares[i].as_py(), np.float32)))
+    model = train([(y, ids, shares) for y, _, ids, shares in sorted(rows, key=lambda r: r[:2])])
+    yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.bias]), pa.array([model.empty])], ["weights", "bias", "empty"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_TEXTS) -> Model:
-    """A model from at most `most` labelled rows outside the held-out fold; see training_rows."""
+    """A model from at most `most` labelled rows outside the held-out fold; see training_rows.
+
+    One task learns from the bounded sample, so that a lost executor costs a retry and the driver gets the weights alone.
+    """
     sample = cut(map_arrow(training_rows(docs, labels, "quality", most), _training_features, "y int, hash long, ids binary, shares binary"))
-    # A partition at a time, as the driver's JVM need not hold the sample too.
-    rows = [(r.y, r.hash, np.frombuffer(r.ids, np.int32), np.frombuffer(r.shares, np.float32)) for r in sample.toLocalIterator()]
-    return train([(y, ids, shares) for y, _, ids, shares in sorted(rows, key=lambda r: r[:2])])
+    made = map_arrow(sample.coalesce(1), _trained, "weights binary, bias double, empty double").first()
+    return Model(np.frombuffer(made.weights, np.float32), made.bias, made.empty) if made else train([])
 
 
 def _scored(model):
