@@ -1,4 +1,4 @@
-"""The queries of the ten operators, as the entry point registers them, and their SQL."""
+"""The queries of the operators, as the entry point registers them, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracelake.llm import decontam, htmltext, mixing, packing, quality, rules, simhash, substring, toxicity, urlfilter
+from tracelake.llm import decontam, divergence, htmltext, mixing, packing, quality, rules, sharding, simhash, substring, toxicity, trie, urlfilter
 from tracelake.llm.common import table
 
 
@@ -56,10 +56,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
-    for f in (op1_decontamination, op2_quality, op3_packing, op4_quality_rules, op5_mixing, op6_substring_dedup, op7_simhash, op8_url_filter, op9_html_text, op10_toxicity)
-}
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.numbered(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+_DEALT = (op1_decontamination, op2_quality, op3_packing, op4_quality_rules, op5_mixing, op6_substring_dedup, op7_simhash, op8_url_filter, op9_html_text, op10_toxicity)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (*_DEALT, op11_divergence, op12_sharding, op13_prefix_trie)}
 
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -100,7 +110,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM (SELECT *, array_to_string(list_filter([{named}], lambda x: x IS NOT NULL), ',') AS rejected_by FROM f)"""
 
 
+#: A list of the 256 remainders of the CRC-32, and the CRC-32 of the bytes of {0} by it (as t).
+_CRC_TABLE = "tab AS (SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b::BIGINT) AS c FROM (SELECT unnest(range(0, 256)) AS b)))"
+_CRC = "xor(list_reduce(list_transform(regexp_extract_all(hex(encode({0})), '..'), lambda x: ('0x' || x)::BIGINT), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295::BIGINT), 4294967295)"
+
+
+def divergence_sql(least: int = divergence.LEAST_DOCUMENTS, top: int = divergence.TOP) -> str:
+    """SQL of op11_divergence."""
+    share = "(CASE WHEN v > 0 THEN 1 + ({0}::HUGEINT + 5) * 1000000000 // ({1}::HUGEINT + 5 * v) ELSE 0 END)".format
+    return rf"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER.replace("text", "coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+e AS (SELECT lang, source, r, unnest(w) AS term FROM (SELECT *, row_number() OVER () AS r FROM d)),
+k AS (SELECT lang, term FROM e GROUP BY 1, 2 HAVING count(DISTINCT r) >= {least}),
+c AS (SELECT lang, source, term, count(*) AS n FROM e JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+g AS (SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, count(*) AS v FROM k GROUP BY 1) USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY 1, 2) USING (lang, source)),
+p AS (SELECT lang, source, k.term, coalesce(n, 0) AS n, {share("coalesce(n, 0)", "total")} AS p FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+q AS (SELECT lang, term, {share("m", "m_all")} AS q FROM (SELECT lang, term, v, sum(n) AS m, sum(sum(n)) OVER (PARTITION BY lang) AS m_all FROM p JOIN g USING (lang, source) GROUP BY 1, 2, 3)),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value FROM p x JOIN p y USING (lang, term) GROUP BY 1, 2, 3) s ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, r::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM f) WHERE part = 'pair' OR r <= {top}"""
+
+
 ORACLE = {
+    "op11_divergence": divergence_sql(),
+    "op12_sharding": f"""
+WITH RECURSIVE {_CRC_TABLE},
+texts AS (SELECT x, {_CRC.format("x")} AS crc FROM (SELECT DISTINCT coalesce(text, '') AS x FROM documents), tab),
+ids AS (SELECT DISTINCT coalesce(doc_id::VARCHAR, '') AS k, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 16))::UBIGINT AS h FROM documents),
+jumps(k, b, j, s) AS (SELECT k, -1::BIGINT, 0::BIGINT, h::HUGEINT FROM ids
+  UNION ALL SELECT k, j, floor((j + 1)::DOUBLE * (2147483648::DOUBLE / ((s2 // 8589934592) + 1)::DOUBLE))::BIGINT, s2
+  FROM (SELECT k, j, (s * {sharding.MULTIPLIER}::HUGEINT + 1) % 18446744073709551616::HUGEINT AS s2 FROM jumps WHERE j < {sharding.SHARDS + 1})),
+ends AS (SELECT k, max(j) FILTER (j < {sharding.SHARDS})::INTEGER AS shard, max(j) FILTER (j < {sharding.SHARDS + 1})::INTEGER AS grown_shard FROM jumps GROUP BY 1),
+d AS (SELECT doc_id, strlen(coalesce(text, '')) + {sharding.OVERHEAD} AS size, crc AS text_crc32, shard, grown_shard, CASE WHEN h >= 9223372036854775808 THEN h::HUGEINT - 18446744073709551616::HUGEINT ELSE h::HUGEINT END AS h
+  FROM documents JOIN texts ON x = coalesce(text, '') JOIN ids ON ids.k = coalesce(doc_id::VARCHAR, '') JOIN ends ON ends.k = ids.k)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard FROM d""",
+    "op13_prefix_trie": rf"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS digest FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, digest, len({_WORDS.format("text")}) AS words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) - 1 AS i FROM t),
+c AS (SELECT conv_id, giver, CASE WHEN giver = conv_id THEN 0 ELSE {_CRC.format("conv_id::VARCHAR")} % {trie.HEADS} END AS h FROM (SELECT DISTINCT conv_id, conv_id - conv_id % {trie.GROUP} AS giver FROM t), tab),
+r AS (SELECT c.conv_id, 0 AS own, i, digest, words FROM c JOIN o ON o.conv_id = giver AND i < h UNION ALL SELECT conv_id, 1, i, digest, words FROM c JOIN o USING (conv_id) WHERE i >= h),
+l AS (SELECT conv_id, coalesce(list(digest ORDER BY own, i) FILTER (digest IS NOT NULL), []) AS l, coalesce(list(words ORDER BY own, i) FILTER (digest IS NOT NULL), []) AS w FROM c LEFT JOIN r USING (conv_id) GROUP BY 1),
+p AS (SELECT conv_id, d, array_to_string(l[1:d], ' ') AS k, CASE WHEN d = 0 THEN NULL ELSE array_to_string(l[1:d-1], ' ') END AS up, coalesce(w[d], 0) AS words, len(l) = d AS last FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM l)),
+n AS (SELECT d, k, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256 FROM p GROUP BY 1, 2),
+ch AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+s AS (SELECT p.d, p.k, sum((n.n_convs - 1) * n.words) AS saved_tokens, count(*) FILTER (ch.k IS NULL) AS n_leaves FROM n JOIN p ON p.conv_id = n.conv_id AND p.d <= n.d LEFT JOIN ch ON ch.d = n.d AND ch.k = n.k GROUP BY 1, 2)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM n JOIN s USING (d, k) LEFT JOIN ch USING (d, k) LEFT JOIN n u ON u.d = n.d - 1 AND u.k = n.up""",
     "op4_quality_rules": rules_sql(),
     "op1_decontamination": f"""
 WITH d AS (SELECT DISTINCT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents WHERE text IS NOT NULL),
