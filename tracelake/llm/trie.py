@@ -22,6 +22,7 @@ from tracelake.llm.common import cut
 
 #: A conversation begins with up to HEADS - 1 turns of the one whose id is the next lower multiple of GROUP.
 GROUP, HEADS = 20, 4
+# Joins are merge joins by hint: what they join grows with the input, and small inputs in many rounds fill the driver with broadcasts.
 #: A key with more than this share of all rows is joined by broadcast; there are fewer than 1 / HOT of them.
 HOT = 1 / 1000
 #: What separates words, as a pattern of their characters.
@@ -35,12 +36,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _looked_up(rows: DataFrame, found: DataFrame, on: list[str], total: int) -> DataFrame:
     """Inner join with `found`, which has one row for each key that rows have, with _n, how many rows have it.
 
-    The few keys with a large share of the rows are joined where these are; all others by shuffle, where no key is hot.
+    The few keys with a large share of the rows are joined where these are; all others by a merge join, where no key is hot.
     """
-    hot = found.where(F.col("_n") > HOT * total)
-    few = hot.select(*on, F.lit(True).alias("_hot"))
-    rest = rows.join(F.broadcast(few), on, "left").where("_hot is null").drop("_hot")
-    return rows.join(F.broadcast(hot), on).unionByName(rest.join(found.where(F.col("_n") <= HOT * total), on)).drop("_n")
+    hot = F.broadcast(found.where(F.col("_n") > HOT * total).select(*on, F.struct(*[c for c in found.columns if c not in on]).alias("_found")))
+    both = rows.join(hot, on, "left")
+    rest = both.where("_found is null").drop("_found").join(found.hint("merge"), on)
+    return both.where("_found is not null").select(*rows.columns, "_found.*").unionByName(rest).drop("_n")
 
 
 def named(rows: DataFrame, on: list[str], first: int = 0) -> tuple[DataFrame, int]:
@@ -49,13 +50,11 @@ def named(rows: DataFrame, on: list[str], first: int = 0) -> tuple[DataFrame, in
     distinct = cut(distinct)  # numbers given by place have to be written before they are used
     part = F.shiftright("_at", 33)
     sizes = distinct.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"), F.sum("_n").alias("_rows")).collect()  # one row for each partition
-    starts, names, total = [], first, 0
-    for size in sorted(sizes, key=lambda r: r._part):
-        starts.append((size._part, names))
+    starts, names, total = [0] * (max((r._part for r in sizes), default=0) + 1), first, 0
+    for size in sizes:
+        starts[size._part] = names
         names, total = names + size._size, total + size._rows
-    begins = distinct.sparkSession.createDataFrame(starts, "_part long, _start long")
-    given = distinct.withColumn("_part", part).join(F.broadcast(begins), "_part")
-    given = given.select(*on, "_n", (F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)).alias("name"))
+    given = distinct.select(*on, "_n", (F.get(F.lit(starts), part.cast("int")) + F.col("_at").bitwiseAND((1 << 33) - 1)).alias("name"))
     return cut(_looked_up(rows, given, on, total)), names - first
 
 
@@ -88,13 +87,13 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes = sizes.withColumn("h", F.when(c == F.col("giver"), 0).otherwise(F.crc32(c.cast("string").cast("binary")) % HEADS))
     givers = sizes.select(c.alias("giver"), F.col("n").alias("given"))
     # Of h turns that are to be taken, m are there.
-    sizes = cut(sizes.join(givers, "giver", "left").withColumn("m", F.least("h", F.coalesce("given", F.lit(0)))))
-    placed = ranged.join(blocks.select("conv_id", "_block", "start").join(sizes.select("conv_id", "h", "m"), "conv_id"), ["conv_id", "_block"])
+    sizes = cut(sizes.join(givers.hint("merge"), "giver", "left").withColumn("m", F.least("h", F.coalesce("given", F.lit(0)))))
+    placed = ranged.join(blocks.select("conv_id", "_block", "start").join(sizes.select("conv_id", "h", "m").hint("merge"), "conv_id").hint("merge"), ["conv_id", "_block"])
     inside = Window.partitionBy("conv_id", "_block").orderBy(*order)
     placed = placed.withColumn("at", F.col("start") + F.row_number().over(inside) - 1)
     own = placed.where("at >= h").select("conv_id", (F.col("at") - F.col("h") + F.col("m")).alias("i"), "digest", "words")
     heads = placed.where((F.col("at") < HEADS - 1) & (c % GROUP == 0)).select(c.alias("giver"), F.col("at").alias("i"), "digest", "words")
-    taken = sizes.where("m > 0").select("conv_id", "giver", "m").join(heads, "giver").where("i < m").select("conv_id", "i", "digest", "words")
+    taken = sizes.where("m > 0").select("conv_id", "giver", "m").join(heads.hint("merge"), "giver").where("i < m").select("conv_id", "i", "digest", "words")
     turns = F.col("m") + F.greatest(F.lit(0), F.col("n") - F.col("h"))
     return cut(own.unionByName(taken)), sizes.select("conv_id", turns.alias("turns"))
 
@@ -120,7 +119,7 @@ def prefixes(turns: DataFrame, sizes: DataFrame) -> DataFrame:
     levels, names = _levels(turns), 1
     for k in range(len(levels) - 1, -1, -1):
         block = levels[k].where(F.col("j") % 2 == 0).select("conv_id", (F.col("j") * (1 << k)).alias("d"), F.col("name").alias("block"), "words")
-        grown = _union(found).drop("words").join(block, ["conv_id", "d"]).withColumn("d", F.col("d") + (1 << k))
+        grown = _union(found).drop("words").join(block.hint("merge"), ["conv_id", "d"]).withColumn("d", F.col("d") + (1 << k))
         level, n = named(grown, ["node", "block"], names)
         found.append(level.select("conv_id", "d", F.col("name").alias("node"), "words"))
         names += n
@@ -148,7 +147,7 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _ends(prefix: DataFrame, sizes: DataFrame) -> DataFrame:
     """(node, ends_sha256) of the conversations that end at each node. Texts of whole ranges of ids are made apart and hashed one after the other."""
-    last = prefix.select("conv_id", "d", "node").join(sizes.select("conv_id", F.col("turns").alias("d")), ["conv_id", "d"])
+    last = prefix.select("conv_id", "d", "node").join(sizes.select("conv_id", F.col("turns").alias("d")).hint("merge"), ["conv_id", "d"])
     ranged = cut(last.select("node", "conv_id").repartitionByRange("node", "conv_id").withColumn("_block", F.spark_partition_id()))
     texts = ranged.groupBy("node", "_block").agg(F.array_join(F.transform(F.sort_array(F.collect_list("conv_id")), lambda x: x.cast("string")), ",").alias("ids"))
     return map_arrow(texts.repartition("node").sortWithinPartitions("node", "_block").select("node", "ids"), _hashes, "node long, ends_sha256 string")
@@ -161,7 +160,7 @@ def _from_here_on(rows: DataFrame, values: list[str]) -> DataFrame:
     blocks = ranged.groupBy("conv_id", "_block").agg(*[F.sum(v).alias(f"_{v}") for v in values])
     blocks = blocks.select("conv_id", "_block", *[F.coalesce(F.sum(f"_{v}").over(after), F.lit(0)).alias(f"_{v}") for v in values])
     inside = Window.partitionBy("conv_id", "_block").orderBy(F.desc("d")).rowsBetween(Window.unboundedPreceding, 0)
-    both = ranged.join(blocks, ["conv_id", "_block"])
+    both = ranged.join(blocks.hint("merge"), ["conv_id", "_block"])
     return both.withColumns({v: F.sum(v).over(inside) + F.col(f"_{v}") for v in values}).drop("_block", *[f"_{v}" for v in values])
 
 
@@ -183,16 +182,16 @@ def nodes(conversations: DataFrame) -> DataFrame:
     node = cut(node)
     # A node is the prefix of its depth of its smallest member, so its parent is that member's prefix of one turn less.
     up = prefix.select("conv_id", (F.col("d") + 1).alias("depth"), F.col("node").alias("parent"))
-    child = cut(node.select("node", "conv_id", "depth").join(up, ["conv_id", "depth"]).select("node", "parent"))
+    child = cut(node.select("node", "conv_id", "depth").join(up.hint("merge"), ["conv_id", "depth"]).select("node", "parent"))
     children = child.groupBy("parent").agg(F.count("*").alias("n_children")).withColumnRenamed("parent", "node")
-    node = cut(node.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
+    node = cut(node.join(children.hint("merge"), "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
     first = node.select("conv_id", F.col("depth").alias("d"), (F.col("n_children") == 0).cast("long").alias("leaf"))
-    own = prefix.join(first, ["conv_id", "d"], "left")
+    own = prefix.join(first.hint("merge"), ["conv_id", "d"], "left")
     # Every member but the smallest saves its turn; each leaf counts at its smallest member.
     own = own.select("conv_id", "d", "node", F.when(F.col("leaf").isNull(), F.col("words")).otherwise(0).cast("long").alias("saved"), F.coalesce("leaf", F.lit(0)).cast("long").alias("leaf"))
     sums = _from_here_on(own, ["saved", "leaf"]).groupBy("node").agg(F.sum("saved").alias("saved_tokens"), F.sum("leaf").alias("n_leaves"))
     parents = node.where("n_children > 0").select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.col("n_children").alias("_n"))
     parents = _looked_up(child, parents, ["parent"], child.count()).drop("parent")
-    out = node.join(sums, "node").join(parents, "node", "left").join(_ends(prefix, sizes), "node", "left")
+    out = node.join(sums.hint("merge"), "node").join(parents.hint("merge"), "node", "left").join(_ends(prefix, sizes).hint("merge"), "node", "left")
     ends = F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256")
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", ends)
