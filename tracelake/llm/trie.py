@@ -33,29 +33,35 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _looked_up(rows: DataFrame, found: DataFrame, on: list[str], total: int) -> DataFrame:
-    """Inner join with `found`, which has one row for each key that rows have, with _n, how many rows have it.
+def _looked_up(rows: DataFrame, found: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join with `found`, which has one row for each key that rows have, with _hot, whether a large share of the rows has it.
 
-    The few keys with a large share of the rows are joined where these are; all others by a merge join, where no key is hot.
+    The few hot keys are joined where the rows are; all others by a merge join.
     """
-    hot = F.broadcast(found.where(F.col("_n") > HOT * total).select(*on, F.struct(*[c for c in found.columns if c not in on]).alias("_found")))
+    others = [c for c in found.columns if c not in (*on, "_hot")]
+    hot = F.broadcast(found.where("_hot").select(*on, F.struct(*others).alias("_found")))
     both = rows.join(hot, on, "left")
-    rest = both.where("_found is null").drop("_found").join(found.hint("merge"), on)
-    return both.where("_found is not null").select(*rows.columns, "_found.*").unionByName(rest).drop("_n")
+    rest = both.where("_found is null").drop("_found").join(found.select(*on, *others).hint("merge"), on)
+    return both.where("_found is not null").select(*rows.columns, "_found.*").unionByName(rest)
 
 
 def named(rows: DataFrame, on: list[str], first: int = 0) -> tuple[DataFrame, int]:
-    """rows with `name` for `on`: equal in equal rows, dense from `first`. Also the number of names. Checkpointed."""
+    """rows with `name` for `on`: equal in equal rows, dense from `first`. Also the number of names. Checkpointed.
+
+    What differs between rounds is given by arrays looked up at a row's partition, not by single constants: so all rounds run
+    the same generated code, which the driver and the executors compile once.
+    """
     distinct = rows.groupBy(*on).agg(F.count("*").alias("_n")).withColumn("_at", F.monotonically_increasing_id())
     distinct = cut(distinct)  # numbers given by place have to be written before they are used
-    part = F.shiftright("_at", 33)
+    part = F.shiftright("_at", 33).cast("int")
     sizes = distinct.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"), F.sum("_n").alias("_rows")).collect()  # one row for each partition
-    starts, names, total = [0] * (max((r._part for r in sizes), default=0) + 1), first, 0
+    starts, names, total = [first] * (max((r._part for r in sizes), default=0) + 1), first, sum(r._rows for r in sizes)
     for size in sizes:
         starts[size._part] = names
-        names, total = names + size._size, total + size._rows
-    given = distinct.select(*on, "_n", (F.get(F.lit(starts), part.cast("int")) + F.col("_at").bitwiseAND((1 << 33) - 1)).alias("name"))
-    return cut(_looked_up(rows, given, on, total)), names - first
+        names += size._size
+    many = F.get(F.lit([HOT * total] * len(starts)), part)
+    name = F.get(F.lit(starts), part) + F.col("_at").bitwiseAND((1 << 33) - 1)
+    return cut(_looked_up(rows, distinct.select(*on, name.alias("name"), (F.col("_n") > many).alias("_hot")), on)), names - first
 
 
 def _ranged(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -99,15 +105,15 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _levels(turns: DataFrame) -> list[DataFrame]:
-    """For each k the aligned blocks of 2**k turns: conv_id, j (the block's number), words of its last turn, name."""
-    level, _ = named(turns.withColumnRenamed("i", "j"), ["digest"])
+    """For each k the aligned blocks of 2**k turns: conv_id, at (the first turn), length, words of the last turn, name."""
+    level, _ = named(turns.select("conv_id", F.col("i").alias("at"), F.lit(1).cast("long").alias("length"), "words", "digest"), ["digest"])
     levels = [level.drop("digest")]
     while True:
-        even = F.col("j") % 2 == 0
-        halves = levels[-1].groupBy("conv_id", F.floor(F.col("j") / 2).alias("j")).agg(
-            F.max(F.when(even, F.col("name"))).alias("left"), F.max(F.when(~even, F.col("name"))).alias("right"), F.max(F.when(~even, F.col("words"))).alias("words")
-        )
-        level, names = named(halves.where("left is not null and right is not null"), ["left", "right"])
+        begin = F.col("at") - F.col("at") % (2 * F.col("length"))
+        of = lambda c, side: F.max(F.when((F.col("at") == F.col("begin")) == side, F.col(c)))
+        halves = levels[-1].withColumns({"begin": begin, "twice": 2 * F.col("length")}).groupBy("conv_id", "begin", "twice")
+        whole = halves.agg(of("words", False).alias("words"), of("name", True).alias("left"), of("name", False).alias("right")).where("left is not null and right is not null")
+        level, names = named(whole.select("conv_id", F.col("begin").alias("at"), F.col("twice").alias("length"), "words", "left", "right"), ["left", "right"])
         if not names:
             return levels
         levels.append(level.drop("left", "right"))
@@ -115,13 +121,15 @@ def _levels(turns: DataFrame) -> list[DataFrame]:
 
 def prefixes(turns: DataFrame, sizes: DataFrame) -> DataFrame:
     """(conv_id, d, node, words of turn d) of every prefix of every conversation; node 0 is the prefix of no turn."""
-    found = [sizes.select("conv_id", F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("node"), F.lit(0).cast("long").alias("words"))]
-    levels, names = _levels(turns), 1
-    for k in range(len(levels) - 1, -1, -1):
-        block = levels[k].where(F.col("j") % 2 == 0).select("conv_id", (F.col("j") * (1 << k)).alias("d"), F.col("name").alias("block"), "words")
-        grown = _union(found).drop("words").join(block.hint("merge"), ["conv_id", "d"]).withColumn("d", F.col("d") + (1 << k))
-        level, n = named(grown, ["node", "block"], names)
-        found.append(level.select("conv_id", "d", F.col("name").alias("node"), "words"))
+    zero = F.lit(0).cast("long")
+    found, names = [sizes.select("conv_id", zero.alias("d"), zero.alias("node"), zero.alias("words"))], 1
+    for level in reversed(_levels(turns)):
+        # The blocks of this length that follow a prefix of a multiple of twice as many turns, which has its name by now.
+        block = level.where("at % (2 * length) = 0").withColumnRenamed("name", "right").hint("merge")
+        before = _union(found).select("conv_id", F.col("d").alias("at"), F.col("node").alias("left"))
+        grown = before.join(block, ["conv_id", "at"]).select("conv_id", "at", "length", "words", "left", "right")
+        grown, n = named(grown, ["left", "right"], names)
+        found.append(grown.select("conv_id", (F.col("at") + F.col("length")).alias("d"), F.col("name").alias("node"), "words"))
         names += n
     return _union(found)
 
@@ -190,8 +198,9 @@ def nodes(conversations: DataFrame) -> DataFrame:
     # Every member but the smallest saves its turn; each leaf counts at its smallest member.
     own = own.select("conv_id", "d", "node", F.when(F.col("leaf").isNull(), F.col("words")).otherwise(0).cast("long").alias("saved"), F.coalesce("leaf", F.lit(0)).cast("long").alias("leaf"))
     sums = _from_here_on(own, ["saved", "leaf"]).groupBy("node").agg(F.sum("saved").alias("saved_tokens"), F.sum("leaf").alias("n_leaves"))
-    parents = node.where("n_children > 0").select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), F.col("n_children").alias("_n"))
-    parents = _looked_up(child, parents, ["parent"], child.count()).drop("parent")
+    hot = (F.col("n_children") > HOT * child.count()).alias("_hot")
+    parents = node.where("n_children > 0").select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), hot)
+    parents = _looked_up(child, parents, ["parent"]).drop("parent")
     out = node.join(sums.hint("merge"), "node").join(parents.hint("merge"), "node", "left").join(_ends(prefix, sizes).hint("merge"), "node", "left")
     ends = F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256")
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", ends)
