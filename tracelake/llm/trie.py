@@ -23,8 +23,6 @@ from tracelake.llm.common import cut
 #: A conversation begins with up to HEADS - 1 turns of the one whose id is the next lower multiple of GROUP.
 GROUP, HEADS = 20, 4
 # Joins are merge joins by hint: what they join grows with the input, and small inputs in many rounds fill the driver with broadcasts.
-#: A key with more than this share of all rows is joined by broadcast; there are fewer than 1 / HOT of them.
-HOT = 1 / 1000
 #: What separates words, as a pattern of their characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -33,35 +31,22 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _looked_up(rows: DataFrame, found: DataFrame, on: list[str]) -> DataFrame:
-    """Inner join with `found`, which has one row for each key that rows have, with _hot, whether a large share of the rows has it.
-
-    The few hot keys are joined where the rows are; all others by a merge join.
-    """
-    others = [c for c in found.columns if c not in (*on, "_hot")]
-    hot = F.broadcast(found.where("_hot").select(*on, F.struct(*others).alias("_found")))
-    both = rows.join(hot, on, "left")
-    rest = both.where("_found is null").drop("_found").join(found.select(*on, *others).hint("merge"), on)
-    return both.where("_found is not null").select(*rows.columns, "_found.*").unionByName(rest)
-
-
 def named(rows: DataFrame, on: list[str], first: int = 0) -> tuple[DataFrame, int]:
     """rows with `name` for `on`: equal in equal rows, dense from `first`. Also the number of names. Checkpointed.
 
-    What differs between rounds is given by arrays looked up at a row's partition, not by single constants: so all rounds run
-    the same generated code, which the driver and the executors compile once.
+    A key of many rows (a first turn that all share) is a skewed partition of a merge join, which adaptive execution splits.
+    The first names of partitions are an array looked up by the partition, not single constants: so all rounds run the same
+    generated code, which the driver and the executors compile once.
     """
-    distinct = rows.groupBy(*on).agg(F.count("*").alias("_n")).withColumn("_at", F.monotonically_increasing_id())
-    distinct = cut(distinct)  # numbers given by place have to be written before they are used
+    distinct = cut(rows.select(*on).distinct().withColumn("_at", F.monotonically_increasing_id()))  # numbers by place are written before they are used
     part = F.shiftright("_at", 33).cast("int")
-    sizes = distinct.groupBy(part.alias("_part")).agg(F.count("*").alias("_size"), F.sum("_n").alias("_rows")).collect()  # one row for each partition
-    starts, names, total = [first] * (max((r._part for r in sizes), default=0) + 1), first, sum(r._rows for r in sizes)
+    sizes = distinct.groupBy(part.alias("part")).agg(F.count("*").alias("names")).collect()  # one row for each partition
+    starts, names = [first] * (max((r.part for r in sizes), default=0) + 1), first
     for size in sizes:
-        starts[size._part] = names
-        names += size._size
-    many = F.get(F.lit([HOT * total] * len(starts)), part)
+        starts[size.part] = names
+        names += size.names
     name = F.get(F.lit(starts), part) + F.col("_at").bitwiseAND((1 << 33) - 1)
-    return cut(_looked_up(rows, distinct.select(*on, name.alias("name"), (F.col("_n") > many).alias("_hot")), on)), names - first
+    return cut(rows.join(distinct.select(*on, name.alias("name")).hint("merge"), on)), names - first
 
 
 def _ranged(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -104,26 +89,26 @@ def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return cut(own.unionByName(taken)), sizes.select("conv_id", turns.alias("turns"))
 
 
-def _levels(turns: DataFrame) -> list[DataFrame]:
+def _levels(turns: DataFrame, longest: int) -> list[DataFrame]:
     """For each k the aligned blocks of 2**k turns: conv_id, at (the first turn), length, words of the last turn, name."""
     level, _ = named(turns.select("conv_id", F.col("i").alias("at"), F.lit(1).cast("long").alias("length"), "words", "digest"), ["digest"])
     levels = [level.drop("digest")]
-    while True:
+    while 1 << len(levels) <= longest:
         begin = F.col("at") - F.col("at") % (2 * F.col("length"))
         of = lambda c, side: F.max(F.when((F.col("at") == F.col("begin")) == side, F.col(c)))
         halves = levels[-1].withColumns({"begin": begin, "twice": 2 * F.col("length")}).groupBy("conv_id", "begin", "twice")
         whole = halves.agg(of("words", False).alias("words"), of("name", True).alias("left"), of("name", False).alias("right")).where("left is not null and right is not null")
-        level, names = named(whole.select("conv_id", F.col("begin").alias("at"), F.col("twice").alias("length"), "words", "left", "right"), ["left", "right"])
-        if not names:
-            return levels
+        level, _ = named(whole.select("conv_id", F.col("begin").alias("at"), F.col("twice").alias("length"), "words", "left", "right"), ["left", "right"])
         levels.append(level.drop("left", "right"))
+    return levels
 
 
 def prefixes(turns: DataFrame, sizes: DataFrame) -> DataFrame:
     """(conv_id, d, node, words of turn d) of every prefix of every conversation; node 0 is the prefix of no turn."""
     zero = F.lit(0).cast("long")
     found, names = [sizes.select("conv_id", zero.alias("d"), zero.alias("node"), zero.alias("words"))], 1
-    for level in reversed(_levels(turns)):
+    longest = sizes.agg(F.max("turns")).first()[0] or 0
+    for level in reversed(_levels(turns, longest)):
         # The blocks of this length that follow a prefix of a multiple of twice as many turns, which has its name by now.
         block = level.where("at % (2 * length) = 0").withColumnRenamed("name", "right").hint("merge")
         before = _union(found).select("conv_id", F.col("d").alias("at"), F.col("node").alias("left"))
@@ -198,9 +183,8 @@ def nodes(conversations: DataFrame) -> DataFrame:
     # Every member but the smallest saves its turn; each leaf counts at its smallest member.
     own = own.select("conv_id", "d", "node", F.when(F.col("leaf").isNull(), F.col("words")).otherwise(0).cast("long").alias("saved"), F.coalesce("leaf", F.lit(0)).cast("long").alias("leaf"))
     sums = _from_here_on(own, ["saved", "leaf"]).groupBy("node").agg(F.sum("saved").alias("saved_tokens"), F.sum("leaf").alias("n_leaves"))
-    hot = (F.col("n_children") > HOT * child.count()).alias("_hot")
-    parents = node.where("n_children > 0").select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"), hot)
-    parents = _looked_up(child, parents, ["parent"]).drop("parent")
+    parents = node.where("n_children > 0").select(F.col("node").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
+    parents = child.join(parents.hint("merge"), "parent").drop("parent")
     out = node.join(sums.hint("merge"), "node").join(parents.hint("merge"), "node", "left").join(_ends(prefix, sizes).hint("merge"), "node", "left")
     ends = F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256")
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", ends)
