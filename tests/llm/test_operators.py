@@ -461,7 +461,7 @@ def test_mixing_takes_prefixes_of_the_seeded_order(spark, docs, monkeypatch, sor
         own = [r for r in rows if (r._domain, r._lang, r._source) == leaf]
         want += [(r.doc_id, r._hash, e) for r in own for e in range(p.epochs)]
         place = (lambda r: r.place0) if p.epochs == 0 else (lambda r: r.place1)
-        order = (lambda r: (place(r).key % 2**64, place(r).id is not None, place(r).id or 0, place(r).hash)) if p.depth else (lambda r: (place(r).key, place(r).id is not None, place(r).id or 0, place(r).hash))
+        order = lambda r: (place(r).key, place(r).id is not None, place(r).id or 0, place(r).hash)
         rest, kin = p.budget - p.epochs * p.supply, {}
         for r in sorted(own, key=order):
             kin.setdefault((r.doc_id, r._hash), []).append(r)
@@ -476,6 +476,27 @@ def test_mixing_takes_prefixes_of_the_seeded_order(spark, docs, monkeypatch, sor
     assert taken.count() == len(want) and got.select(*names[:4]).distinct().count() == 1
 
 
+def test_mixing_of_a_leaf_depends_on_it_and_its_budget_alone(spark, monkeypatch):
+    """The same leaf beside a small and a large one, at one budget: the same documents, whatever is sorted and how deep the ranges go."""
+    table = lambda n: spark.createDataFrame([(i, "a b c d e", "en", "src0") for i in range(300)] + [(1000 + i, "a b c d e", "en", "src1") for i in range(n)], "doc_id long, text string, lang string, source string")
+    found = []
+    for n, most in ((300, 4096), (3000, 4096), (5000, 4096), (5000, 3)):
+        monkeypatch.setattr(mixing, "SORTED", most)
+        # The other leaf's weight is that of its supply, so this one's budget is always 600 tokens.
+        rows = mixing.chosen(table(n), weights={"source": {"src0": 600.0, "src1": 2.0 * n}}, budget=600.0 + 2 * n).where("source = 'src0'").collect()
+        found.append(sorted((r.doc_id, r.epoch) for r in rows))
+    assert len(found[0]) == 120 and all(f == found[0] for f in found)
+
+
+def test_rules_count_a_labelled_id_once(spark):
+    """Ten times over, the same rows are no more evidence than once."""
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    once = spark.createDataFrame([(i, text(i), "en") for i in range(70)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(70)], "doc_id long, quality int")
+    ten = once.crossJoin(spark.range(10)).drop("id")
+    assert all(r.kept for r in rules.judged(once, labels).collect()) and all(r.kept for r in rules.judged(ten, labels).collect())
+
+
 def test_packing_round_trip(spark, docs, rows, empty):
     packed = packing.packed(docs, length=256).collect()
     encoder = packing.Encoder(open(packing.TOKENIZER, "rb").read())

@@ -158,23 +158,27 @@ def postings(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
 
 
-def _differences(key: tuple, rows: pa.Table) -> pa.Table:
-    """Of one block of terms and two of sources: (lang, i, j, value, terms), the sum of the pair's differences over the block's terms."""
-    lang, _, left, right = (k.as_py() for k in key)
-    place, share, term = (rows.column(c).to_numpy() for c in ("place", "share", "code"))
-    level = np.asarray(rows.column("level"))
-    places, first = np.unique(place[level], return_index=True)
-    _, row = np.unique(term[~level], return_inverse=True)
-    n = int(row.max()) + 1 if len(row) else 0
-    # Sources without a term have the share of no occurrence.
-    table = np.tile(share[level][first], (n, 1))
-    table[row, np.searchsorted(places, place[~level])] = share[~level]
-    side, out = places // SOURCES_TOGETHER, []
-    for i in np.flatnonzero(side == left):
-        j = np.flatnonzero((side == right) & (places > places[i]))
-        out.append((np.full(len(j), places[i]), places[j], np.abs(table[:, j] - table[:, i : i + 1]).sum(axis=0)))
-    i, j, value = (np.concatenate(x) for x in zip(*out))
-    return pa.table({"lang": pa.array([lang] * len(i), pa.string()), "i": i, "j": j, "value": value, "terms": np.full(len(i), n)})
+def _differences(together: int):
+    """Of one block of terms and two of `together` sources: (lang, i, j, value, terms), the sum of the pair's differences over the block's terms."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        lang, _, left, right = (k.as_py() for k in key)
+        place, share, term = (rows.column(c).to_numpy() for c in ("place", "share", "code"))
+        level = np.asarray(rows.column("level"))
+        places, first = np.unique(place[level], return_index=True)
+        _, row = np.unique(term[~level], return_inverse=True)
+        n = int(row.max()) + 1 if len(row) else 0
+        # Sources without a term have the share of no occurrence.
+        table = np.tile(share[level][first], (n, 1))
+        table[row, np.searchsorted(places, place[~level])] = share[~level]
+        side, out = places // together, []
+        for i in np.flatnonzero(side == left):
+            j = np.flatnonzero((side == right) & (places > places[i]))
+            out.append((np.full(len(j), places[i]), places[j], np.abs(table[:, j] - table[:, i : i + 1]).sum(axis=0)))
+        i, j, value = (np.concatenate(x) for x in zip(*out))
+        return pa.table({"lang": pa.array([lang] * len(i), pa.string()), "i": i, "j": j, "value": value, "terms": np.full(len(i), n)})
+
+    return run
 
 
 def audit(docs: DataFrame, least: int = LEAST_DOCUMENTS, top: int = TOP) -> DataFrame:
@@ -215,7 +219,7 @@ def _pairs(shares: DataFrame, groups: DataFrame) -> DataFrame:
     level = met(every, F.col("block"), True, F.lit(0).cast("long"), F.col("level"))
     rows = given.unionByName(level).withColumns({"left": F.least("own", "other"), "right": F.greatest("own", "other")})
     ship(shares.sparkSession)
-    parts = rows.groupBy("lang", "block", "left", "right").applyInArrow(_differences, "lang string, i long, j long, value long, terms long")
+    parts = rows.groupBy("lang", "block", "left", "right").applyInArrow(_differences(SOURCES_TOGETHER), "lang string, i long, j long, value long, terms long")
     sums = parts.groupBy("lang", "i", "j").agg(F.sum("value").alias("value"), F.sum("terms").alias("terms"))
     end = lambda x: groups.select("lang", F.col("place").alias(x), F.col("source").alias(f"source_{x}"), F.col("level").alias(f"level_{x}"), *(["v"] if x == "i" else []))
     both = sums.join(end("i"), ["lang", "i"]).join(end("j"), ["lang", "j"])

@@ -106,7 +106,7 @@ def plan(rows: DataFrame, weights=None, budget: float | None = None, share: floa
     while True:
         inside = ordered.join(_broadcast_if_few(edge), keys).where(_leading(depth) == F.col("prefix"))
         most = inside.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if most <= SORTED or depth + BITS > 64:
+        if most <= SORTED or depth + BITS > 63:
             break
         depth += BITS
         sums = inside.groupBy(*keys, _leading(depth).alias("next")).agg(F.sum("_tokens").alias("tokens"), F.max("rest").alias("rest"), F.max("before").alias("start"))
@@ -122,12 +122,15 @@ def plan(rows: DataFrame, weights=None, budget: float | None = None, share: floa
 
 
 def place_of(epoch: Column, seed: int) -> Column:
-    """A row's place in the order of an epoch: a seeded hash without its sign, then the id and the text's hash, which settle ties."""
-    return F.struct(F.xxhash64(F.lit(seed), epoch, F.col("doc_id"), F.col("_hash")).alias("key"), F.col("doc_id").alias("id"), F.col("_hash").alias("hash"))
+    """A row's place in the order of an epoch: 63 bits of a seeded hash, then the id and the text's hash, which settle ties.
+
+    Without a sign, so the order of keys is that of their leading bits, however many of them are looked at.
+    """
+    return F.struct(F.shiftrightunsigned(F.xxhash64(F.lit(seed), epoch, F.col("doc_id"), F.col("_hash")), 1).alias("key"), F.col("doc_id").alias("id"), F.col("_hash").alias("hash"))
 
 
 def _leading(bits: int) -> Column:
-    return F.shiftrightunsigned(F.col("place.key"), 64 - bits) if bits else F.lit(0).cast("long")
+    return F.shiftrightunsigned(F.col("place.key"), 63 - bits) if bits else F.lit(0).cast("long")
 
 
 def _broadcast_if_few(leaves: DataFrame) -> DataFrame:
@@ -141,7 +144,7 @@ def selected(rows: DataFrame, leaf_plan: DataFrame, seed: int = SEED) -> DataFra
     """
     keys = [f"_{x}" for x in LEVELS]
     both = rows.join(leaf_plan.select(*keys, "epochs", "prefix", "depth", "last"), keys).withColumn("place", place_of(F.col("epochs"), seed))
-    leading = F.when(F.col("depth") == 0, F.lit(0).cast("long")).otherwise(F.expr("shiftrightunsigned(place.key, 64 - depth)"))
+    leading = F.when(F.col("depth") == 0, F.lit(0).cast("long")).otherwise(F.expr("shiftrightunsigned(place.key, 63 - depth)"))
     upto = (leading < F.col("prefix")) | ((leading == F.col("prefix")) & F.coalesce(F.col("place") <= F.col("last"), F.lit(False)))
     times = F.col("epochs") + F.when(upto, 1).otherwise(0)
     out = both.withColumn("_epoch", F.explode(F.when(times > 0, F.sequence(F.lit(0), times - 1)).otherwise(F.array().cast("array<int>"))))

@@ -97,7 +97,8 @@ f AS (SELECT *, n_words < {rules.LEAST_WORDS} OR 100 * n_repeat_words > {rules.M
   coalesce(n_symbols / word_chars, 0) AS symbol_share, 100 * coalesce(n_dup_lines / n_words, 0) AS dup_lines_per_100_words,
   coalesce(n_repeat_words / n_words, 0) AS repeat_share, coalesce(word_chars / n_words, 0) AS mean_word, coalesce(n_upper / word_chars, 0) AS upper_share FROM n),
 lab AS (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY 1),
-known AS (SELECT f.*, q, substr(md5(doc_id::VARCHAR), 1, 1) IN ({", ".join(f"'{x}'" for x in rules.DESIGN)}) AS design FROM f JOIN lab USING (doc_id) WHERE NOT base_failed),
+known AS (SELECT f.*, q, substr(md5(doc_id::VARCHAR), 1, 1) IN ({", ".join(f"'{x}'" for x in rules.DESIGN)}) AS design FROM f JOIN lab USING (doc_id) WHERE NOT base_failed
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY stratum, {", ".join(rules.GRID)}) = 1),
 over AS (SELECT r, stratum, q, design, m, i, c, CASE m {value} END > c AS above FROM known, (VALUES {grid}) AS g(m, i, c)),
 steps AS (SELECT stratum, m, c, row_number() OVER (PARTITION BY stratum ORDER BY count(*) FILTER (design AND above AND q = 1), count(*) FILTER (design AND above AND q = 0) DESC, i DESC, m) AS place
   FROM over GROUP BY stratum, m, i, c),

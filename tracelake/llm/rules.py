@@ -147,13 +147,16 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", limit: flo
 
     A null stratum is a stratum of its own; one with too few labelled good texts for any step keeps all that pass the base
     rules. Only narrow rows are checkpointed and shuffled: the text is read once. Repeated rows come out as often as they
-    come in; a label that lacks an id or value doesn't count, and an id with several counts by its largest.
+    come in; a label that lacks an id or value doesn't count, and an id with several counts by its largest. However often a
+    labelled id occurs, it is one draw of the binomial: of its rows that pass the base rules, that of the least stratum and
+    measures. Ids are taken as drawn, so copies of a text under several labelled ids are as many draws.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(stratum).cast("string"), F.lit("\u0000null")).alias("stratum"), "text")
     features = cut(counted(rows).withColumn("base_failed", base_failed()).withColumns(_measures()))
     known = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
     design = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1).isin(*DESIGN)
-    labelled = cut(features.where(~F.col("base_failed")).join(known, "doc_id").select("stratum", *GRID, "quality", design.alias("design")))
+    drawn = features.where(~F.col("base_failed")).join(known, "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct("stratum", *GRID)).alias("one"))
+    labelled = cut(drawn.select("one.*", "quality", design.alias("design")))
     limits = cut(cutoffs(labelled, limit, delta))
     # One row for each stratum; broadcast behind a check of their number, else joined by shuffle.
     named = F.broadcast(limits) if limits.count() <= BROADCAST_STRATA else limits
