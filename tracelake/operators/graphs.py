@@ -48,16 +48,45 @@ def root_paths(nodes: DataFrame) -> DataFrame:
     about log2(n) rounds, each checkpointed. Nodes on or below a cycle, or below an unknown parent, are left out.
     """
     ways = cut(nodes.select("node", F.col("parent").alias("up"), F.array("node").alias("path")))
-    left, rounds = ways.where("up is not null").count(), 0
-    while left and (1 << rounds) <= left * 2:
+    left = total = ways.where("up is not null").count()
+    rounds = 0
+    # No way up is longer than all nodes that have a parent; what is left after so many steps has no root.
+    while left and (1 << rounds) <= 2 * total:
         above = ways.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"))
         ways = cut(ways.where("up is null").unionByName(ways.where("up is not null").join(above, "up").select("node", F.col("_up").alias("up"), F.concat("_path", "path").alias("path"))))
         left, rounds = ways.where("up is not null").count(), rounds + 1
     return ways.where("up is null").select("node", (F.size("path") - 1).alias("depth"), "path")
 
 
+def depths(nodes: DataFrame) -> DataFrame:
+    """(node, root, depth) of every node that a root reaches, by pointer doubling as in root_paths but without the paths."""
+    ways = cut(nodes.select("node", F.col("parent").alias("up"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.coalesce("parent", "node").alias("root")))
+    left = total = ways.where("up is not null").count()
+    rounds = 0
+    while left and (1 << rounds) <= 2 * total:
+        above = ways.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("root").alias("_root"))
+        on = ways.where("up is not null").join(above, "up").select("node", F.col("_up").alias("up"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_root").alias("root"))
+        ways = cut(ways.where("up is null").unionByName(on))
+        left, rounds = ways.where("up is not null").count(), rounds + 1
+    return ways.where("up is null").select("node", "root", "depth")
+
+
 def longest_paths(nodes: DataFrame) -> DataFrame:
-    """(root, depth, path) of each tree's deepest node; of equally deep ones the least."""
-    found = root_paths(nodes).withColumn("root", F.get("path", F.lit(0)))
-    best = found.groupBy("root").agg(F.min_by("path", F.struct(-F.col("depth"), "node")).alias("path"))
-    return best.select("root", (F.size("path") - 1).alias("depth"), "path")
+    """(root, depth, path) of each tree's deepest node; of equally deep ones the least.
+
+    Depths come first, without paths; then one path is followed for each root, by names of ancestors 1, 2, 4 ... steps up:
+    of the nodes known to be on it, each adds the one so many steps above, longest steps first.
+    """
+    deep = cut(depths(nodes))
+    ends = deep.groupBy("root").agg(F.min_by("node", F.struct(-F.col("depth"), "node")).alias("node"), F.max("depth").alias("depth"))
+    jumps = [cut(nodes.where("parent is not null").select("node", F.col("parent").alias("above")))]
+    most = ends.agg(F.max("depth")).first()[0] or 0
+    while 1 << len(jumps) <= most:
+        step = jumps[-1]
+        jumps.append(cut(step.join(step.select(F.col("node").alias("above"), F.col("above").alias("_above")), "above").select("node", F.col("_above").alias("above"))))
+    on_path = ends.select("root", "node", F.col("depth").alias("at"))
+    for k in range(len(jumps) - 1, -1, -1):
+        up = on_path.join(jumps[k], "node").select("root", F.col("above").alias("node"), (F.col("at") - (1 << k)).alias("at"))
+        on_path = cut(on_path.unionByName(up))
+    paths = on_path.groupBy("root").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "node"))), lambda x: x["node"]).alias("path"))
+    return paths.select("root", (F.size("path") - 1).alias("depth"), "path")
