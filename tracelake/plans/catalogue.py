@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tracelake.plans import frame_queries, image_queries, model_queries, response_queries, signal_queries, table_queries
+from tracelake.plans import frame_queries, image_queries, model_queries, modulation_queries, response_queries, shape_queries, signal_queries, table_queries
 
-QUERIES: dict = signal_queries.QUERIES | table_queries.QUERIES | model_queries.QUERIES | frame_queries.REGISTRY.queries | response_queries.REGISTRY.queries | image_queries.REGISTRY.queries
-ORACLE: dict = signal_queries.ORACLE | table_queries.ORACLE | model_queries.ORACLE | frame_queries.REGISTRY.sql | response_queries.REGISTRY.sql | image_queries.REGISTRY.sql
+_MODULES = (frame_queries, response_queries, image_queries, modulation_queries, shape_queries)
+QUERIES: dict = signal_queries.QUERIES | table_queries.QUERIES | model_queries.QUERIES
+ORACLE: dict = signal_queries.ORACLE | table_queries.ORACLE | model_queries.ORACLE
+for _module in _MODULES:
+    QUERIES |= _module.REGISTRY.queries
+    ORACLE |= _module.REGISTRY.sql
