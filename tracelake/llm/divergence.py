@@ -28,7 +28,7 @@ LEAST_DOCUMENTS, TOP = 30, 50
 ADDED, UNITS = 5, 1_000_000_000
 #: The automata hold the most frequent kept terms: at most so many, of so many characters each and in total. The rest of the
 #: kept terms is counted by a join, so these bounds decide about the way only.
-AUTOMATON_TERMS, AUTOMATON_LENGTH, AUTOMATON_CHARS = 200_000, 64, 2_000_000
+AUTOMATON_TERMS, AUTOMATON_LENGTH, AUTOMATON_CHARS = 200_000, 64, 3_000_000
 #: A task holds about so many counts before it hands them on.
 HELD = 400_000
 #: Differences are summed over about so many terms and this many sources (on either side) in one place.
@@ -143,12 +143,12 @@ def postings(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, term, n): how often each kept term occurs in each group; groups without a term have no row for it."""
     spark = docs.sparkSession
     short = kept.where(F.length("term") <= AUTOMATON_LENGTH).orderBy(F.desc("n"), "lang", "term").limit(AUTOMATON_TERMS)
-    held, chars = defaultdict(list), 0
-    for row in short.toLocalIterator():
-        chars += len(row.term) + 2
+    held, chars, rows = defaultdict(list), 0, short.select("lang", "term").toArrow()  # bounded by AUTOMATON_TERMS and AUTOMATON_LENGTH
+    for lang, term in zip(rows.column("lang").to_pylist(), rows.column("term").to_pylist()):
+        chars += len(term) + 2
         if chars > AUTOMATON_CHARS:
             break
-        held[row.lang].append(row.term)
+        held[lang].append(term)
     terms = spark.sparkContext.broadcast(dict(held))
     schema = "lang string, source string, term string, n long"
     found = map_arrow(docs.select("lang", "source", "text"), _occurrences(uuid.uuid4().hex, terms), schema)
