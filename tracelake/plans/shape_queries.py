@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracelake.operators import graphs, linkage, meshes, peaks, registration, spectra
+from tracelake.operators import graphs, linkage, meshes, peaks, registration, space, spectra
 from tracelake.operators.columns import ticks
 from tracelake.plans.registry import Registry
 from tracelake.plans.signal_queries import r6
@@ -132,3 +132,45 @@ def tree_depths(spark, sf_dir):
     v = F.col("vec_id").cast("long")
     parent = F.when(v % 100 > 0, v - 1 - (v % 100 - 1) % 3)
     return graphs.depths(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(v.alias("node"), parent.alias("parent"))).select("node", "root", "depth")
+
+
+_XYZ = "p AS (SELECT vec_id, label, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings)"
+
+
+def _nodes(spark, sf_dir):
+    return _vectors(spark, sf_dir).select("label", "vec_id", *[F.get("x", F.lit(i)).alias(c) for i, c in enumerate("xyz")])
+
+
+@query(f"""WITH {_XYZ} SELECT label, vec_id, round(x - lead(x, 2) OVER w, 6) AS t_x, round(y - lead(y, 2) OVER w, 6) AS t_y, round(z - lead(z, 2) OVER w, 6) AS t_z
+FROM p WINDOW w AS (PARTITION BY label ORDER BY vec_id)""")
+def tangent_steps(spark, sf_dir):
+    rows = space.tangents(_nodes(spark, sf_dir), "label", "vec_id", list("xyz"), 2)
+    return rows.select("label", "vec_id", *[r6(f"t_{c}").alias(f"t_{c}") for c in "xyz"])
+
+
+@query(f"WITH {_XYZ} SELECT label, vec_id, round(max(x) OVER w - x + min(x) OVER w, 6) AS x, round(y, 6) AS y FROM p WINDOW w AS (PARTITION BY label)")
+def mirrored_points(spark, sf_dir):
+    """Points mirrored in x within the box of their label."""
+    rows = _nodes(spark, sf_dir)
+    box = rows.groupBy("label").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    return rows.join(box, "label").select("label", "vec_id", r6(space.mirrored(F.col("x"), F.col("low"), F.col("high"))).alias("x"), r6("y").alias("y"))
+
+
+@query(f"""WITH {_XYZ}, g AS (SELECT label * 1000 + vec_id // 50 AS path, vec_id, CASE WHEN x <= 0.15 THEN x END AS x FROM p),
+n AS (SELECT *, lag(x) OVER w AS before, lead(x) OVER w AS after, lag(vec_id) OVER w IS NULL AS first, lead(vec_id) OVER w IS NULL AS last, x IS NULL AND lag(vec_id) OVER w IS NOT NULL AND lag(x) OVER w IS NULL AS two
+  FROM g WINDOW w AS (PARTITION BY path ORDER BY vec_id))
+SELECT path, vec_id, round(coalesce(x, (before + after) / 2), 6) AS x FROM n WHERE path NOT IN (SELECT path FROM n WHERE two) AND NOT (x IS NULL AND (first OR last))""")
+def gapless_paths(spark, sf_dir):
+    """Paths of a label's neighbouring nodes without two missing coordinates in a row, isolated ones filled in."""
+    rows = _nodes(spark, sf_dir).select((F.col("label") * 1000 + F.floor(F.col("vec_id") / 50)).alias("path"), "vec_id", F.when(F.col("x") <= 0.15, F.col("x")).alias("x"))
+    return space.without_gaps(rows, "path", "vec_id", "x").select("path", "vec_id", r6("x").alias("x"))
+
+
+@query(f"""WITH {_XYZ}, c AS (SELECT vec_id, 100 * x AS u, 100 * y AS v, 20 + 10 * abs(z) AS r, 240 / tan(radians(22.5)) AS f FROM p)
+SELECT vec_id, round(u / sqrt(u * u + v * v + f * f), 6) AS x, round(v / sqrt(u * u + v * v + f * f), 6) AS y, round(f / sqrt(u * u + v * v + f * f), 6) AS z,
+round(acos((u * (u + r) + v * v + f * f) / sqrt(u * u + v * v + f * f) / sqrt((u + r) * (u + r) + v * v + f * f)), 6) AS angle FROM c""")
+def sphere_views(spark, sf_dir):
+    """Where a camera of 640 by 480 pixels and 45 degrees sees spheres, and under which angle."""
+    rows = _nodes(spark, sf_dir)
+    view = space.sphere_view(320 + 100 * F.col("x"), 240 + 100 * F.col("y"), 20 + 10 * F.abs("z"), F.lit(640.0), F.lit(480.0), F.lit(45.0))
+    return rows.withColumn("s", view).select("vec_id", *[r6(F.col(f"s.{c}")).alias(c) for c in ("x", "y", "z", "angle")])
