@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracelake.operators import graphs, linkage, meshes, nulls, peaks, registration, ridge, spectra
+from tracelake.operators import graphs, linkage, meshes, nulls, peaks, registration, ridge, spectra, stats
 from tracelake.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
@@ -209,6 +209,13 @@ def test_spectra_of_planted_frequencies(spark):
     assert floor[:8] == power[0][:8] and np.allclose(floor[8:], np.exp(np.mean(np.log(power[0][8:]))))
 
 
+def test_numbers_over_ranges(spark):
+    df = spark.range(100).select((97 * F.col("id") % 101).alias("a"), F.when(F.col("id") != 5, F.col("id")).alias("b"))
+    rows = sorted(stats.numbered(df, ["a", "b"], "n").collect(), key=lambda r: r.n)
+    assert [r.n for r in rows] == list(range(1, 101)) and [r.a for r in rows] == sorted(r.a for r in rows)
+    assert stats.numbered(df.where("false"), ["a"], "n").collect() == []
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 20, 64, 80, 100])
 def test_chains_of_any_length(spark, n):
     chain = [(i, i - 1 if i else None) for i in range(n)] + [(1000, 1001), (1001, 1000), (1002, 5000)]

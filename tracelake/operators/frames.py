@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracelake.operators.columns import ratio
+from tracelake.operators.stats import numbered
 
 #: Which underscore-separated parts of a recording's name make the subject, its number and the repetition, by layout (0 first).
 LAYOUTS = {0: ([0], 1, 2), 1: ([0, 1], None, 2), 2: ([0, 1, 2], None, None), 3: ([0], 1, 3)}
@@ -134,4 +135,4 @@ def by_position(left: DataFrame, right: DataFrame, key: str, left_order: list[st
 def first_seen_ids(df: DataFrame, name: str, order: str) -> DataFrame:
     """(name, id): names numbered from 1 by where they first occur."""
     first = df.groupBy(name).agg(F.min(order).alias("_first"))
-    return first.select(name, F.row_number().over(Window.orderBy("_first", name)).cast("long").alias("id"))
+    return numbered(first, ["_first", name], "id").select(name, "id")

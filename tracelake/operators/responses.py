@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracelake.operators.columns import ratio
 from tracelake.operators.events import bouts
+from tracelake.operators.stats import numbered
 
 
 def zscored_by(df: DataFrame, key: str, values: list[str]) -> DataFrame:
@@ -141,4 +142,4 @@ def cluster_traces(df: DataFrame, cluster: str, t: str, value: str, individual:
 def relabelled(df: DataFrame, label: str, order: str) -> DataFrame:
     """Labels renumbered from 1 by where each first occurs in the order: adds new_label."""
     first = df.groupBy(label).agg(F.min(order).alias("_first"))
-    return df.join(first.select(label, F.row_number().over(Window.orderBy("_first", label)).cast("long").alias("new_label")), label)
+    return df.join(numbered(first, ["_first", label], "new_label").drop("_first"), label)
