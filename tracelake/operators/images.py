@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
 from pyspark.sql import Column, DataFrame
@@ -40,15 +41,27 @@ def blurred_2d(values: Column, height: int, width: int, sigma: float, size: int)
     return F.get(F.transform(F.array(rows), along(width, lambda i: F.floor(i / width).cast("int"), height)), F.lit(0))
 
 
-def _neighbours(shape: tuple[int, ...]) -> list[tuple[int, int]]:
-    """Index pairs (a < b) of cells that touch, corners included, in an array by rows of that shape."""
+def _touching(values: str, shape: tuple[int, ...]) -> Column:
+    """Of an array by rows of that shape: a struct (a, b, u, v) of places and values for all cells a < b that touch, corners included.
+
+    One expression for each direction, so the plan does not grow with the image.
+    """
     strides = [1]
     for n in reversed(shape[1:]):
         strides.insert(0, strides[0] * n)
-    place = lambda cell: sum(c * s for c, s in zip(cell, strides))
-    half = [d for d in product((-1, 0, 1), repeat=len(shape)) if d > (0,) * len(shape)]
-    cells = product(*map(range, shape))
-    return [(place(c), place(e)) for c in cells for d in half for e in [tuple(a + b for a, b in zip(c, d))] if all(0 <= x < n for x, n in zip(e, shape))]
+    cells = F.sequence(F.lit(0), F.lit(strides[0] * shape[0] - 1))
+
+    def beside(direction: tuple[int, ...]) -> Column:
+        step = sum(d * s for d, s in zip(direction, strides))
+
+        def pair(i: Column) -> Column:
+            inside = [(F.floor(i / s) % n + d).between(0, n - 1) for d, s, n in zip(direction, strides, shape) if d]
+            both = F.struct(i.alias("a"), (i + step).alias("b"), F.get(values, i).alias("u"), F.get(values, i + step).alias("v"))
+            return F.when(reduce(lambda x, y: x & y, inside), both)
+
+        return F.filter(F.transform(cells, pair), lambda p: p.isNotNull())
+
+    return F.concat(*[beside(d) for d in product((-1, 0, 1), repeat=len(shape)) if d > (0,) * len(shape)])
 
 
 def neighbour_correlation(frames: DataFrame, values: str, shape: tuple[int, ...]) -> DataFrame:
@@ -56,8 +69,7 @@ def neighbour_correlation(frames: DataFrame, values: str, shape: tuple[int, ...]
 
     The pairs follow from the shape alone; each is summed over frames once and counts for both its cells.
     """
-    pairs = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.get(values, F.lit(a)).alias("u"), F.get(values, F.lit(b)).alias("v")) for a, b in _neighbours(shape)]
-    r = frames.select(F.inline(F.array(*pairs))).groupBy("a", "b").agg(F.coalesce(safe_corr(F.col("u"), F.col("v")), F.lit(0.0)).alias("r"))
+    r = frames.select(F.inline(_touching(values, shape))).groupBy("a", "b").agg(F.coalesce(safe_corr(F.col("u"), F.col("v")), F.lit(0.0)).alias("r"))
     both = r.select("a", "r").unionByName(r.select(F.col("b").alias("a"), "r"))
     return both.groupBy(F.col("a").alias("cell")).agg(F.avg("r").alias("rho"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tracelake.operators import images as I
 from tracelake.operators import series as S
 from tracelake.operators import stats as T
 from tracelake.operators.columns import long_form, ratio, safe_corr
@@ -126,13 +127,8 @@ def energy_cut(spark, sf_dir):
 n AS (SELECT a.y, a.x, b.y AS y2, b.x AS x2, corr(a.v, b.v) AS r FROM g a JOIN g b ON a.t = b.t AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND (a.y <> b.y OR a.x <> b.x) GROUP BY 1, 2, 3, 4)
 SELECT y::BIGINT AS y, x::BIGINT AS x, round(avg(coalesce(r, 0)), 6) AS rho FROM n GROUP BY 1, 2""")
 def neighbour_corr_2d(spark, sf_dir):
-    # Of each frame, the products of each pixel with four half-neighbours, summed over frames; then mirrored.
-    e = _read(spark, sf_dir, "embeddings").select(S.doubles("embedding").alias("x"))
-    pairs = [(y * 8 + x, (y + dy) * 8 + x + dx) for y in range(8) for x in range(8) for dy, dx in ((0, 1), (1, -1), (1, 0), (1, 1)) if 0 <= y + dy < 8 and 0 <= x + dx < 8]
-    made = e.select(F.inline(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.get("x", F.lit(a)).alias("u"), F.get("x", F.lit(b)).alias("v")) for a, b in pairs])))
-    r = made.groupBy("a", "b").agg(F.coalesce(safe_corr(F.col("u"), F.col("v")), F.lit(0.0)).alias("r"))
-    both = r.select("a", "r").unionByName(r.select(F.col("b").alias("a"), "r"))
-    return both.groupBy("a").agg(r6(F.avg("r")).alias("rho")).select(F.floor(F.col("a") / 8).alias("y"), F.pmod("a", F.lit(8)).cast("long").alias("x"), "rho")
+    frames = _read(spark, sf_dir, "embeddings").select(S.doubles("embedding").alias("x"))
+    return I.neighbour_correlation(frames, "x", (8, 8)).select(F.floor(F.col("cell") / 8).alias("y"), F.pmod("cell", F.lit(8)).cast("long").alias("x"), r6("rho").alias("rho"))
 
 
 @query(f"""WITH {_LONG}, h AS (SELECT label, i, avg(v) FILTER (vec_id % 2 = 0) AS a, avg(v) FILTER (vec_id % 2 = 1) AS b FROM e GROUP BY 1, 2) SELECT label, round(corr(a, b), 6) AS r FROM h GROUP BY 1""")
