@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracelake.functions.shared import cut as cut
+from tracelake.functions.shared import shared_folder
 
 #: White space as the operators' contracts name it: \x20 and \x09 to \x0D.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
@@ -22,6 +24,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Written:
+    """Tables written as Parquet in the shared folder and read again by the schema they were written with.
+
+    A checkpoint runs the last stage twice and keeps rows as serialised objects; a written table runs once and is read by
+    column. Several tables of one schema are one scan.
+    """
+
+    def __init__(self, spark: SparkSession, what: str) -> None:
+        self.spark, self.base, self.tables = spark, f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}", 0
+
+    def write(self, rows: DataFrame) -> str:
+        path, self.tables = f"{self.base}/{self.tables}", self.tables + 1
+        rows.write.parquet(path)
+        return path
+
+    def cut(self, rows: DataFrame) -> DataFrame:
+        return self.read(rows, [self.write(rows)])
+
+    def read(self, like: DataFrame, paths: list[str]) -> DataFrame:
+        return self.spark.read.schema(like.schema).parquet(*paths)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the fold that no model may learn from; a null id is never held out, and never learnt from either."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
