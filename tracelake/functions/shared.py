@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +25,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written in the shared folder.
+
+    Unlike a checkpoint, it is estimated by the size of its files: in a loop of joins, estimates of checkpoints multiply
+    round by round until the driver does nothing but multiply them.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared folder that nothing reads any more."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
