@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tracelake.operators import graphs, models, space
 from tracelake.plans.signal_queries import r6
 from tracelake.plans.table_queries import _LONG
-from tracelake.streaming import windows
+from tracelake.streaming import blocks, windows
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -96,3 +96,21 @@ GROUP BY event_type, time_bucket(INTERVAL 1 DAY, ts) HAVING time_bucket(INTERVAL
 def rate_stream(spark, sf_dir):
     rows = windows.drained(windows.stream_rates(windows.event_stream(spark, sf_dir), "event_type", "value", "1 day", "2 hours"))
     return rows.select("event_type", F.unix_micros("window_start").alias("start_us"), "n", r6("mean_value").alias("mean_value"))
+
+
+@query(f"""SELECT event_type, epoch_us(start) AS start_us, count(*) AS n, round(quantile_cont(value, 0.2), 6) AS low
+FROM (SELECT event_type, value, time_bucket(INTERVAL 1 DAY, ts) - INTERVAL 1 DAY * unnest(range(0, 3)) AS start FROM events WHERE value IS NOT NULL)
+GROUP BY event_type, start HAVING start + INTERVAL 3 DAY {_GONE}""")
+def low_stream(spark, sf_dir):
+    """The lower fifth of the values of three days, day by day."""
+    rows = windows.drained(windows.stream_percentiles(windows.event_stream(spark, sf_dir), "event_type", "value", 0.2, "3 days", "1 day", "2 hours"))
+    return rows.select("event_type", F.unix_micros("window_start").alias("start_us"), "n", r6("low").alias("low"))
+
+
+@query("""WITH r AS (SELECT user_id, event_id, epoch_us(ts) AS us, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i FROM events WHERE user_id IS NOT NULL AND epoch_us(ts) <= (SELECT epoch_ms(max(ts)) * 1000 - 7200000000 FROM events)),
+b AS (SELECT *, count(*) OVER (PARTITION BY user_id, i // 8) AS n FROM r)
+SELECT user_id, i // 8 AS block, i % 8 AS place, us, event_id, value FROM b WHERE n = 8""")
+def block_stream(spark, sf_dir):
+    """Events of a user in blocks of eight; what doesn't fill one waits in the state."""
+    rows = windows.drained(blocks.stream_blocks(windows.event_stream(spark, sf_dir), "user_id", ["event_id"], ["value"], 8, "2 hours"))
+    return rows.select("user_id", "block", "place", F.unix_micros("ts").alias("us"), "event_id", "value")
