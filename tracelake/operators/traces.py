@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracelake.functions.shared import stored
 from tracelake.operators.columns import ratio
 
 _SUMS = ["seen", "raw_seen", "own", "back", "raw_back", "c"]
@@ -49,10 +50,11 @@ def unmixed(movie: DataFrame, spatial: DataFrame, temporal: DataFrame, back_spat
 
     Frames are those of the movie under the component and those of its series; where the movie has none of its pixels, yf, yr
     and raw are null. The movie is joined with the weights once; all products then meet in one aggregation. Components meet by
-    shared pixels only, and as sums: pairs without a common pixel never appear.
+    shared pixels only, and as sums: pairs without a common pixel never appear. The weights, which are used several times, are
+    written first.
     """
-    a = support(_unit(spatial, keys), keys, share)
-    b = _unit(back_spatial, keys)
+    a = stored(support(_unit(spatial, keys), keys, share))
+    b = stored(_unit(back_spatial, keys))
     c, f = _scaled(temporal, a, keys), _scaled(back_temporal, b, keys)
     v = F.coalesce(F.nanvl("v", F.lit(None)), F.lit(0.0))
     seen = _sums(movie.select(*keys, "pixel", "t", v.alias("v")).join(a, [*keys, "pixel"]), keys, seen=F.col("w") * F.col("v"), raw_seen=F.col("u") * F.col("v"))
@@ -80,11 +82,7 @@ def extracted(parts: DataFrame, keys: list[str], p: float = 0.2, half: int = 50,
     near = by.orderBy("t").rowsBetween(-half, half)
     trend = {"inferred": ("c", F.col("yf")), "filtered": ("yr", F.col("yf") - F.col("yr") + F.col("c")), "raw": ("raw", F.col("raw_back"))}
     out = parts
-    for name, (signal, _) in trend.items():
-        out = out.withColumn(f"{name}_trend", F.when(F.col(signal).isNotNull(), F.percentile(F.col(signal), F.lit(p)).over(near)))
-    for name, (_, level) in trend.items():
-        out = out.withColumn(f"{name}_f", (level if base is None else F.percentile(level, F.lit(base)).over(by)) + F.col(f"{name}_trend"))
-    for name, (signal, _) in trend.items():
-        out = out.withColumn(f"{name}_df", F.col(signal) - F.col(f"{name}_trend"))
-        out = out.withColumn(f"{name}_dfof", ratio(F.col(f"{name}_df"), F.col(f"{name}_f")))
-    return out.drop(*_ENDS)
+    out = out.withColumns({f"{name}_trend": F.when(F.col(signal).isNotNull(), F.percentile(F.col(signal), F.lit(p)).over(near)) for name, (signal, _) in trend.items()})
+    out = out.withColumns({f"{name}_f": (level if base is None else F.percentile(level, F.lit(base)).over(by)) + F.col(f"{name}_trend") for name, (_, level) in trend.items()})
+    out = out.withColumns({f"{name}_df": F.col(signal) - F.col(f"{name}_trend") for name, (signal, _) in trend.items()})
+    return out.withColumns({f"{name}_dfof": ratio(F.col(f"{name}_df"), F.col(f"{name}_f")) for name in trend}).drop(*_ENDS)
