@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tracelake.operators import graphs, models, space
+from tracelake.operators import frames, graphs, models, space
 from tracelake.plans import catalogue
 from tracelake.sources import logs
 
@@ -63,3 +63,11 @@ def test_root_paths(spark):
 @pytest.mark.parametrize("name", ["ridge_cv", "kmeans", "gauss_fit"])
 def test_queries_give_rows(spark, name):
     assert catalogue.QUERIES[name](spark, SF).count() > 0
+
+
+def test_rows_with_the_keys_in_their_text(spark):
+    rows = spark.createDataFrame([(1, "banana"), (2, "ananas"), (2, "ananas"), (3, ""), (4, None), (5, "naïve é")], "i int, t string")
+    keys = ["ana", "ana", "nanas", "é", "bananas", None, ""]
+    got = sorted((r.i, r.k) for r in frames.containing(rows, "t", spark.createDataFrame([(k,) for k in keys], "k string")).collect())
+    assert got == sorted({(i, k) for i, t in rows.collect() if t is not None for k in keys if k is not None and k in t})
+    assert frames.containing(rows, "t", spark.createDataFrame([], "k string")).collect() == []

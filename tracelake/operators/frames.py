@@ -136,3 +136,19 @@ def first_seen_ids(df: DataFrame, name: str, order: str) -> DataFrame:
     """(name, id): names numbered from 1 by where they first occur."""
     first = df.groupBy(name).agg(F.min(order).alias("_first"))
     return numbered(first, ["_first", name], "id").select(name, "id")
+
+
+def containing(rows: DataFrame, text: str, keys: DataFrame, key: str = "k") -> DataFrame:
+    """Rows with each key that their text contains, once for a key however often it does and however often the key is given.
+
+    Only pieces as long as some key are looked up, by an equi-join: a text of n characters has at most n for each length
+    that keys have. The lengths are one row. Rows that repeat are one; null texts and keys count for nothing, an empty key
+    is part of every text.
+    """
+    known = keys.where(F.col(key).isNotNull()).select(F.col(key).alias("_piece")).distinct()
+    lengths = known.agg(F.collect_set(F.length("_piece")).alias("_lengths"))
+    at = F.length(text)
+    fitting = F.filter("_lengths", lambda n: n <= at)
+    pieces = F.flatten(F.transform(fitting, lambda n: F.transform(F.sequence(F.lit(1), at - n + 1), lambda i: F.substring(F.col(text), i, n))))
+    cut_up = rows.where(F.col(text).isNotNull()).crossJoin(F.broadcast(lengths)).select(*rows.columns, F.explode(F.array_distinct(pieces)).alias("_piece"))
+    return cut_up.join(known, "_piece").select(*rows.columns, F.col("_piece").alias(key)).distinct()

@@ -171,15 +171,5 @@ def shared_keys(spark, sf_dir):
     first = lambda df, c: df.select(F.get(F.split(c, " "), F.lit(0)).alias("k")).distinct()
     a = first(part, "p_name")
     b = first(_read(spark, sf_dir, "customer"), "c_mktsegment").union(a.where(F.length("k") > 4))
-    # Rows meet keys at the words that they begin with or contain: whole words first, which are an equi-join, then parts of words.
-    keys = a.intersect(b)
-    pieces = part.select("p_partkey", F.explode(_substrings("p_name")).alias("k")).distinct()
-    found = pieces.join(keys, "k")
+    found = R.containing(part, "p_name", a.intersect(b))
     return found.groupBy("p_partkey").agg(F.min("k").alias("key"), F.count("*").alias("n_keys"), (F.count("*") > 1).alias("ambiguous"))
-
-
-def _substrings(c: str):
-    """All substrings of a short text, so that containment is an equi-join."""
-    n = F.length(c)
-    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    return F.flatten(F.transform(starts, lambda i: F.transform(F.sequence(F.lit(1), F.greatest(n - i + 1, F.lit(1))), lambda k: F.substring(F.col(c), i, k))))
