@@ -15,6 +15,13 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+def steady_mean(v: Column) -> Column:
+    """Mean of doubles that the order of summing doesn't change: sums are exact where all have at most 12 decimals and 16 digits before them."""
+    exact = v.try_cast("decimal(28,12)")
+    whole = F.bool_and(v.isNull() | F.coalesce(exact.cast("double") == v, F.lit(False)))
+    return F.when(whole, F.try_divide(F.sum(exact).cast("double"), F.count(v))).otherwise(F.avg(v))
+
+
 def safe_corr(a: Column, b: Column) -> Column:
     """Pearson correlation of pairs, null where either side is constant."""
     both = F.when(a.isNotNull() & b.isNotNull(), F.lit(1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelake.operators.columns import ratio
+from tracelake.operators.columns import ratio, steady_mean
 from tracelake.operators.events import bouts
 from tracelake.operators.stats import numbered
 
@@ -64,7 +64,7 @@ def triggered_average(samples: DataFrame, pulses: DataFrame, key: str, index: st
 
 def subtracted(df: DataFrame, key: str, level: Column, values: Column, by: str = "mean") -> DataFrame:
     """Add `corrected`: values less the mean (or median) of those of the key where `level` holds."""
-    base = F.avg(F.when(level, values)) if by == "mean" else F.percentile(F.when(level, values), F.lit(0.5))
+    base = steady_mean(F.when(level, values.cast("double"))) if by == "mean" else F.percentile(F.when(level, values), F.lit(0.5))
     return df.join(df.groupBy(key).agg(base.alias("_base")), key).withColumn("corrected", values - F.col("_base")).drop("_base")
 
 
