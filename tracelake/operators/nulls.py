@@ -7,17 +7,20 @@ one makes the same again. Series are spread over tasks together with batches of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tracelake.functions.ship import ship
+from tracelake.functions.ship import map_arrow
 
 #: Draws until a permutation meets its constraints; beyond them there is taken to be none.
 TRIES = 10_000
+#: Series that are worked on at a time, and numbers of orders that are kept for the next ones: they bound a task's memory.
+AT_ONCE, HELD = 256, 1 << 21
 
 
 def _rng(seed: int, number: int) -> np.random.Generator:
@@ -72,23 +75,50 @@ def rotated(n: int, turn: tuple[int, bool]) -> np.ndarray:
     return order[::-1] if turn[1] else order
 
 
+@lru_cache(maxsize=1)
+def _draws(seed: int, numbers: range, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted normal values and random turns of phases for each number, the same for all series of a length."""
+    rngs = [_rng(seed, i) for i in numbers]
+    gauss = np.stack([np.sort(r.normal(size=n)) for r in rngs])
+    return gauss, np.exp(2j * np.pi * np.stack([r.random(n // 2 + 1) for r in rngs]))
+
+
+def _flat(values: np.ndarray) -> tuple[int, int]:
+    """Where the longest run of equal values begins and ends, in sorted values."""
+    edges = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1], [True])))
+    i = int(np.argmax(np.diff(edges)))
+    return int(edges[i]), int(edges[i + 1])
+
+
 def surrogates(x: np.ndarray, seed: int, numbers: range, rounds: int = 10) -> np.ndarray:
     """For each number, the values of x in an order that has its amplitude spectrum: random phases, then spectrum and ranks are restored in turn."""
     n, values, target = len(x), np.sort(x), np.abs(np.fft.rfft(x))
-    rngs = [_rng(seed, i) for i in numbers]
-    gauss = np.stack([np.sort(r.normal(size=n)) for r in rngs])[:, np.argsort(np.argsort(x))]
-    phases = np.stack([r.random(len(target)) for r in rngs])
+    gauss, turns = _draws(seed, numbers, n)
+    # Among equal values no order is needed: only those below and above the longest run of such are sorted.
+    low, high = _flat(values)
+    row = np.arange(len(gauss))[:, None]
 
     def ranked(rows: np.ndarray) -> np.ndarray:
-        out = np.empty_like(rows)
-        np.put_along_axis(out, np.argsort(rows, axis=1), np.broadcast_to(values, rows.shape), axis=1)
+        if high - low < n // 2:
+            order = np.argsort(rows, axis=1)
+            out = np.empty_like(rows)
+            out[row, order] = values
+            return out
+        out = np.full_like(rows, values[low])
+        for part, own in ((slice(0, low), -rows), (slice(high, n), rows)):
+            k = part.stop - part.start
+            if k:
+                top = np.argpartition(own, n - k, axis=1)[:, n - k :]
+                order = np.take_along_axis(top, np.argsort(own[row, top], axis=1), axis=1)
+                out[row, order] = values[part] if part.start else values[part][::-1]
         return out
 
-    now = ranked(np.fft.irfft(np.fft.rfft(gauss, axis=1) * np.exp(2j * np.pi * phases), n, axis=1))
+    now = ranked(np.fft.irfft(np.fft.rfft(gauss[:, np.argsort(np.argsort(x))], axis=1) * turns, n, axis=1))
     for _ in range(rounds):
         spectrum = np.fft.rfft(now, axis=1)
         size = np.abs(spectrum)
-        now = ranked(np.fft.irfft(target * np.divide(spectrum, size, out=np.ones_like(spectrum), where=size > 0), n, axis=1))
+        spectrum[size == 0], size[size == 0] = 1, 1
+        now = ranked(np.fft.irfft(spectrum * (target / size), n, axis=1))
     return now
 
 
@@ -106,44 +136,80 @@ def _z(x: np.ndarray) -> np.ndarray | None:
     return (x - x.mean(axis=-1, keepdims=True)) / s if len(x) and (s > 1e-12 * (1 + np.abs(x).max())).all() else None
 
 
+def _arrays(series: DataFrame, key: str, *columns: str) -> DataFrame:
+    """The key and columns as arrays of doubles, dealt out by key."""
+    return series.select(key, *[F.col(c).cast("array<double>").alias(f"_{i}") for i, c in enumerate(columns)]).repartition(key)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[tuple]]]:
+    """Keys, and each row's other columns as numpy arrays (None for null), AT_ONCE rows at a time, whatever a batch holds."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            some = batch.slice(at, AT_ONCE)
+            yield some.column(0), list(zip(*[some.column(i).to_pandas() for i in range(1, some.num_columns)]))
+
+
+def _pair(a: np.ndarray | None, b: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """The series, and both standardised, where they can be correlated."""
+    a, b = (np.zeros(0) if v is None else np.asarray(v, float) for v in (a, b))
+    if len(a) != len(b) or not len(a) or not (np.isfinite(a).all() and np.isfinite(b).all()):
+        return None
+    za, zb = _z(a), _z(b)
+    return None if za is None or zb is None else (a, za, zb)
+
+
 def null_correlations(series: DataFrame, key: str, y: str, predicted: str, kind: str = "chunk", count: int = 200, seed: int = 1, splits: int = 10, least: int = 3, batch: int = 50, stimulus: list[float] | None = None, first: int = 0) -> DataFrame:
     """(key, number, r): correlation of each series, permuted, with its prediction (an array of the same length), for the numbers from `first` up to `count`.
 
     kind: chunk, shuffle, circular (rotations and their mirror images, in turn) or surrogate, which is each series' own. A pair
-    of arrays that differ in length, are too short for the kind, hold null or NaN, or where one is constant, has r null. No
-    shuffle but one that deals out series and batches of numbers.
+    of arrays that differ in length, are too short for the kind, hold null or NaN, or where one is constant, has r null. Series
+    are dealt out once, and a task makes `batch` numbers at a time of its AT_ONCE series.
     """
-    steps = F.explode(F.sequence(F.lit(0), F.lit((count - first - 1) // batch))).alias("_batch")
-    rows = series.select(key, F.col(y).cast("array<double>").alias("y"), F.col(predicted).cast("array<double>").alias("p"), steps)
     stim = None if stimulus is None else np.asarray(stimulus, float)
+    chunks = [range(i, min(count, i + batch)) for i in range(first, count, batch)]
 
-    def of(a, b, numbers: range, known: dict) -> list[float | None]:
-        a, b = (np.zeros(0) if v is None else np.asarray(v, float) for v in (a, b))
-        if len(a) != len(b) or not len(a) or not (np.isfinite(a).all() and np.isfinite(b).all()):
-            return [None] * len(numbers)
-        zb, za = _z(b), _z(a)
-        if za is None or zb is None:
-            return [None] * len(numbers)
-        if kind == "surrogate":
-            return (_z(surrogates(a, seed, numbers)) @ zb / len(a)).tolist()
-        if (len(a), numbers) not in known:
+    def orders(n: int, numbers: range, known: dict) -> np.ndarray | None:
+        if (n, numbers) not in known:
+            if sum(v.size for v in known.values() if v is not None) > HELD:
+                known.clear()
             try:
-                known[len(a), numbers] = np.stack([_order(kind, len(a), seed, i, splits, least, stim) for i in numbers])
+                known[n, numbers] = np.stack([_order(kind, n, seed, i, splits, least, stim) for i in numbers])
             except (ValueError, ZeroDivisionError):
-                known[len(a), numbers] = None
-        orders = known[len(a), numbers]
-        return [None] * len(numbers) if orders is None else (za[orders] @ zb / len(a)).tolist()
+                known[n, numbers] = None
+        return known[n, numbers]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
-        for some in batches:
-            for k, a, b, j in zip(some[key], some["y"], some["p"], some["_batch"]):
-                numbers = range(first + j * batch, min(count, first + (j + 1) * batch))
-                yield pd.DataFrame({key: pd.Series([k] * len(numbers), dtype=some[key].dtype), "number": list(numbers), "r": pd.Series(of(a, b, numbers, known), dtype="float64")})
+        for keys, pairs in _slices(batches):
+            out = np.full((len(keys), max(0, count - first)), np.nan)
+            whole = [(i, _pair(*p)) for i, p in enumerate(pairs)]
+            whole = [(i, p) for i, p in whole if p is not None]
+            # A batch of numbers for all series of the slice, so that an order serves them all.
+            for numbers in chunks:
+                for i, (a, za, zb) in whole:
+                    own = out[i, numbers.start - first : numbers.stop - first]
+                    if kind == "surrogate":
+                        own[:] = _z(surrogates(a, seed, numbers)) @ zb / len(a)
+                    elif (order := orders(len(a), numbers, known)) is not None:
+                        own[:] = za[order] @ zb / len(a)
+            number = np.tile(np.arange(first, first + out.shape[1], dtype=np.int32), len(keys))
+            r = pa.array(out.ravel(), from_pandas=True)
+            yield pa.RecordBatch.from_arrays([keys.take(pa.array(np.repeat(np.arange(len(keys)), out.shape[1]))), pa.array(number), r], [key, "number", "r"])
 
-    ship(series.sparkSession)
     kind_of_key = series.schema[key].dataType.simpleString()
-    return rows.repartition(key, "_batch").mapInPandas(run, f"{key} {kind_of_key}, number int, r double").withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+    return map_arrow(_arrays(series, key, y, predicted), run, f"{key} {kind_of_key}, number int, r double")
+
+
+def observed(series: DataFrame, key: str, y: str, predicted: str) -> DataFrame:
+    """(key, r): correlation of each series, as it is, with its prediction; null where null_correlations() gives null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, pairs in _slices(batches):
+            found = [_pair(*p) for p in pairs]
+            r = [None if p is None else float(p[1] @ p[2] / len(p[0])) for p in found]
+            yield pa.RecordBatch.from_arrays([keys, pa.array(r, pa.float64())], [key, "r"])
+
+    return map_arrow(_arrays(series, key, y, predicted), run, f"{key} {series.schema[key].dataType.simpleString()}, r double")
 
 
 def null_filters(series: DataFrame, design: np.ndarray, key: str, y: str, penalty: float, kind: str = "shuffle", count: int = 200, seed: int = 1, splits: int = 10, least: int = 3) -> DataFrame:
@@ -155,26 +221,29 @@ def null_filters(series: DataFrame, design: np.ndarray, key: str, y: str, penalt
     solver = np.linalg.solve(design.T @ design + penalty * np.eye(design.shape[1]), design.T)
     shared = series.sparkSession.sparkContext.broadcast(solver)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        orders = None
-        for some in batches:
-            for k, a in zip(some[key], some["y"]):
-                a = np.zeros(0) if a is None else np.asarray(a, float)
-                za = _z(a) if len(a) == shared.value.shape[1] and np.isfinite(a).all() else None
-                if za is None:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        orders, width = None, len(shared.value)
+        for keys, values in _slices(batches):
+            found = [(i, _pair(a, a)) for i, (a,) in enumerate(values) if a is not None and len(a) == shared.value.shape[1]]
+            of, stats = [], np.zeros((0, 3))
+            for i, pair in found:
+                if pair is None:
                     continue
                 if kind == "surrogate":
-                    made = _z(surrogates(a, seed, range(count)))
+                    made = _z(surrogates(pair[0], seed, range(count)))
                 else:
                     if orders is None:
-                        orders = np.stack([_order(kind, len(a), seed, i, splits, least, None) for i in range(count)])
-                    made = za[orders]
+                        orders = np.stack([_order(kind, len(pair[0]), seed, j, splits, least, None) for j in range(count)])
+                    made = pair[1][orders]
                 w = made @ shared.value.T
-                yield pd.DataFrame({key: [k] * w.shape[1], "i": range(w.shape[1]), "mean": w.mean(axis=0), "median": np.median(w, axis=0), "sd": w.std(axis=0, ddof=1)})
+                of.append(i)
+                stats = np.concatenate([stats, np.stack([w.mean(axis=0), np.median(w, axis=0), w.std(axis=0, ddof=1)], axis=1)])
+            columns = [keys.take(pa.array(np.repeat(np.array(of, np.int64), width))), pa.array(np.tile(np.arange(width, dtype=np.int32), len(of))), *map(pa.array, stats.T.copy())]
+            yield pa.RecordBatch.from_arrays(columns, [key, "i", "mean", "median", "sd"])
 
-    ship(series.sparkSession)
     kind_of_key = series.schema[key].dataType.simpleString()
-    return series.select(key, F.col(y).cast("array<double>").alias("y")).mapInPandas(run, f"{key} {kind_of_key}, i int, mean double, median double, sd double")
+    rows = series.select(key, F.col(y).cast("array<double>").alias("y"))
+    return map_arrow(rows, run, f"{key} {kind_of_key}, i int, mean double, median double, sd double")
 
 
 def resumed(series: DataFrame, folder: str, key: str, y: str, predicted: str, count: int, step: int = 100, **options) -> DataFrame:

@@ -11,16 +11,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracelake.functions.shared import cut
-from tracelake.functions.ship import ship
+from tracelake.functions.ship import map_arrow, ship
 
 #: Penalties looked at, in powers of ten, before the best is refined; and how alike regressors are dependent ones.
 POWERS, REFINED, DEPENDENT = np.arange(-4.0, 8.5, 0.5), 30, 1e-9
 #: A design of so many numbers is broadcast; a longer recording has to be cut into parts.
 MOST_NUMBERS = 1 << 23
+#: Series that are worked on at a time.
+AT_ONCE = 256
 
 
 def lagged(design: DataFrame, t: str, names: list[str], lags: range) -> DataFrame:
@@ -62,21 +66,21 @@ def with_products(samples: DataFrame, design: DataFrame, key: str, t: str, y: st
 
 
 class Sums:
-    """Centred sums of squares and products of some samples: of x with x and y, of y; and their scales."""
+    """Centred sums of squares and products of some samples: of x with x and with the y of many series (a row each), of y; and their scales."""
 
     def __init__(self, gram: np.ndarray, s: np.ndarray) -> None:
         n = gram[0, 0]
         mean = gram[0, 1:] / n
         self.n, self.xx = n, gram[1:, 1:] - n * np.outer(mean, mean)
-        self.xy, self.yy = s[2:] - s[0] * mean, s[1] - s[0] * s[0] / n
+        self.xy, self.yy = s[:, 2:] - s[:, :1] * mean, s[:, 1] - s[:, 0] * s[:, 0] / n
         # What rounding leaves of a constant counts as nothing.
         self.sx = np.sqrt(np.where(np.diag(self.xx) > DEPENDENT * np.maximum(1, np.diag(gram)[1:]), np.diag(self.xx), 0) / n)
-        self.sy = np.sqrt(self.yy / n) if self.yy > DEPENDENT * max(1.0, s[1]) else 0.0
+        self.sy = np.sqrt(np.where(self.yy > DEPENDENT * np.maximum(1.0, s[:, 1]), self.yy, 0) / n)
 
-    def standard(self) -> tuple[np.ndarray, np.ndarray, float]:
-        """Products of standardised x with each other and y, and of y; constant ones are 0 throughout."""
+    def standard(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Products of standardised x with each other and each y, and of each y; constant ones are 0 throughout."""
         scale = np.divide(1.0, self.sx, out=np.zeros_like(self.sx), where=self.sx > 0)
-        return self.xx * np.outer(scale, scale), self.xy * scale / (self.sy or 1.0), self.n if self.sy else 0.0
+        return self.xx * np.outer(scale, scale), self.xy * scale / np.where(self.sy > 0, self.sy, 1.0)[:, None], np.where(self.sy > 0, self.n, 0.0)
 
 
 def independent(xx: np.ndarray) -> np.ndarray:
@@ -90,40 +94,44 @@ def independent(xx: np.ndarray) -> np.ndarray:
     return keep
 
 
-def best_penalty(xx: np.ndarray, xy: np.ndarray, yy: float, n: float) -> float:
-    """The penalty of the greatest marginal likelihood: y normal around x w, w normal around 0, the noise's scale integrated out."""
-    d, v = np.linalg.eigh(xx)
-    d, a = np.maximum(d, 0), (v.T @ xy) ** 2
+def best_penalty(d: np.ndarray, a: np.ndarray, yy: np.ndarray, n: float) -> np.ndarray:
+    """For each y the penalty of the greatest marginal likelihood: y normal around x w, w normal around 0, the noise's scale integrated out.
 
-    def cost(power: float) -> float:
-        p = 10.0**power
-        return n * np.log(max(yy - float((a / (d + p)).sum()), 1e-12 * yy)) + float(np.log1p(d / p).sum())
+    d: eigenvalues of x's products; a: squared products of each y with the eigenvectors.
+    """
+
+    def cost(power: np.ndarray) -> np.ndarray:
+        p = 10.0 ** power[:, None]
+        return n * np.log(np.maximum(yy - (a / (d + p)).sum(axis=1), 1e-12 * yy)) + np.log1p(d / p).sum(axis=1)
 
-    at = min(POWERS, key=cost)
+    at = POWERS[np.argmin([cost(np.full(len(yy), p)) for p in POWERS], axis=0)]
     low, high, golden = at - 0.5, at + 0.5, (5**0.5 - 1) / 2
     for _ in range(REFINED):
         x, z = high - golden * (high - low), low + golden * (high - low)
-        low, high = (low, z) if cost(x) <= cost(z) else (x, high)
-    return float(10 ** ((low + high) / 2))
+        left = cost(x) <= cost(z)
+        low, high = np.where(left, low, x), np.where(left, z, high)
+    return 10 ** ((low + high) / 2)
 
 
-def solved(train: Sums, columns: np.ndarray, penalty: float | None) -> tuple[np.ndarray, float, int]:
-    """Weights of standardised regressors (0 for those left out), the penalty, and how many are independent."""
+def solved(train: Sums, columns: np.ndarray, penalty: float | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each y the weights of standardised regressors (0 for those left out) and the penalty, and how many regressors are independent."""
     xx, xy, yy = train.standard()
-    w, own = np.zeros(len(xy)), np.flatnonzero(columns)
+    w, p, own = np.zeros(xy.shape), np.full(len(xy), np.nan), np.flatnonzero(columns)
     own = own[independent(xx[np.ix_(own, own)])] if len(own) else own
-    if not len(own) or not yy:
-        return w, float("nan"), len(own)
-    p = best_penalty(xx[np.ix_(own, own)], xy[own], yy, train.n) if penalty is None else penalty
-    w[own] = np.linalg.solve(xx[np.ix_(own, own)] + p * np.eye(len(own)), xy[own])
+    some = np.flatnonzero(yy > 0)
+    if len(own) and len(some):
+        d, v = np.linalg.eigh(xx[np.ix_(own, own)])
+        d, turned = np.maximum(d, 0), xy[np.ix_(some, own)] @ v
+        p[some] = best_penalty(d, turned**2, yy[some], train.n) if penalty is None else penalty
+        w[np.ix_(some, own)] = turned / (d + p[some, None]) @ v.T
     return w, p, len(own)
 
 
-def correlation(test: Sums, w: np.ndarray) -> float:
-    """Correlation of y with the weighted sum of x, both standardised on the test samples; 0 where one is constant."""
+def correlation(test: Sums, w: np.ndarray) -> np.ndarray:
+    """Correlation of each y with its weighted sum of x, both standardised on the test samples; 0 where one is constant."""
     xx, xy, yy = test.standard()
-    power = float(w @ xx @ w) * yy
-    return float(xy @ w) / power**0.5 if power > 0 else 0.0
+    power = ((w @ xx) * w).sum(axis=1) * yy
+    return np.divide((xy * w).sum(axis=1), np.sqrt(np.maximum(power, 0)), out=np.zeros(len(w)), where=power > 0)
 
 
 def fitted(samples: DataFrame, design: DataFrame, key: str, t: str, y: str, groups: dict[str, int], penalty: float | None = None) -> DataFrame:
@@ -144,21 +152,20 @@ def fitted(samples: DataFrame, design: DataFrame, key: str, t: str, y: str, grou
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         whole = sum(gram.value.values())
         for batch in batches:
-            out = []
-            for own in batch["parts"]:
-                s = {f: np.zeros(width + 2) for f in gram.value} | {p["fold"]: np.asarray(p["s"]) for p in own}
-                total, found = sum(s.values()), []
-                for f, g in gram.value.items():
-                    train, test = Sums(whole - g, total - s[f]), Sums(g, s[f])
-                    w, p, rank = solved(train, np.ones(width, bool), penalty)
-                    r, less = correlation(test, w), []
-                    for a, b in zip(ends[:-1], ends[1:]):
-                        others = np.ones(width, bool)
-                        others[a:b] = False
-                        less.append(r**2 - correlation(test, solved(train, others, penalty)[0]) ** 2)
-                    found.append([r, r * r, p, rank, *less, *w])
-                out.append(np.mean(found, axis=0))
-            m = np.array(out).reshape(len(out), -1)
+            s = {f: np.zeros((len(batch), width + 2)) for f in gram.value}
+            for i, own in enumerate(batch["parts"]):
+                for p in own:
+                    s[p["fold"]][i] = p["s"]
+            total, m = sum(s.values()), 0.0
+            for f, g in gram.value.items():
+                train, test = Sums(whole - g, total - s[f]), Sums(g, s[f])
+                w, p, rank = solved(train, np.ones(width, bool), penalty)
+                r, less = correlation(test, w), []
+                for a, b in zip(ends[:-1], ends[1:]):
+                    others = np.ones(width, bool)
+                    others[a:b] = False
+                    less.append(r**2 - correlation(test, solved(train, others, penalty)[0]) ** 2)
+                m = m + np.column_stack([r, r * r, p, np.full(len(r), rank), *less, w]) / len(gram.value)
             k = 4 + len(groups)
             yield pd.DataFrame({key: batch[key], "r": m[:, 0], "r2": m[:, 1], "penalty": m[:, 2], "rank": m[:, 3], "filter": list(m[:, k:]), "unique": list(m[:, 4:k])})
 
@@ -192,18 +199,20 @@ def with_arrays(samples: DataFrame, filters: DataFrame, design: DataFrame, key:
     places = spark.sparkContext.broadcast({v: i for i, v in enumerate(r[0] for r in design.select(t).orderBy(t).collect())})
     own = samples.where(F.col(y).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(F.col(t).alias("t"), F.col(y).cast("double").alias("y"))).alias("own"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(z.value)
         for batch in batches:
-            series, made = [], []
-            for rows, w in zip(batch["own"], batch["filter"]):
-                values = np.zeros(len(z.value))
-                for r in [] if rows is None else rows:
-                    if r["t"] in places.value:
-                        values[places.value[r["t"]]] = r["y"]
-                series.append(values)
-                made.append(z.value @ np.asarray(w))
-            yield pd.DataFrame({key: batch[key], "y": series, "predicted": made})
-
-    ship(spark)
+            for at in range(0, batch.num_rows, AT_ONCE):
+                some = batch.slice(at, AT_ONCE)
+                series = np.zeros((some.num_rows, n))
+                row = np.repeat(np.arange(some.num_rows), pc.fill_null(pc.list_value_length(some.column("ts")), 0).to_numpy(zero_copy_only=False))
+                place = np.array([places.value.get(v, -1) for v in some.column("ts").flatten().to_pylist()], np.int64)
+                known = place >= 0
+                series[row[known], place[known]] = some.column("ys").flatten().to_numpy(zero_copy_only=False)[known]
+                made = np.array(some.column("filter").to_pylist(), float).reshape(some.num_rows, -1) @ z.value.T
+                ends = pa.array(np.arange(some.num_rows + 1, dtype=np.int32) * n)
+                yield pa.RecordBatch.from_arrays([some.column(key), *(pa.ListArray.from_arrays(ends, pa.array(m.ravel())) for m in (series, made))], [key, "y", "predicted"])
+
     kind = samples.schema[key].dataType.simpleString()
-    return filters.select(key, "filter").join(own, key, "left").mapInPandas(run, f"{key} {kind}, y array<double>, predicted array<double>")
+    rows = filters.select(key, "filter").join(own, key, "left").select(key, "filter", F.col("own.t").alias("ts"), F.col("own.y").alias("ys"))
+    return map_arrow(rows, run, f"{key} {kind}, y array<double>, predicted array<double>")

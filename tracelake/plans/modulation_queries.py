@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracelake.functions.shared import cut
+from tracelake.functions.shared import stored
 from tracelake.operators import nulls, ridge, stats
 from tracelake.operators.columns import ticks
 from tracelake.plans.registry import Registry
@@ -64,13 +64,11 @@ def stim_ridge(spark, sf_dir):
 def _null(spark, sf_dir, **options):
     """(user_id, obs, p, adjusted, reject) of the model's fit against its permuted series."""
     samples, design = _lagged(spark, sf_dir)
-    rows = cut(ridge.with_arrays(samples, _fitted(samples, design), design, "user_id", "t", "y"))
+    rows = stored(ridge.with_arrays(samples, _fitted(samples, design), design, "user_id", "t", "y"))
     null = nulls.null_correlations(rows, "user_id", "y", "predicted", **options)
-    z = lambda c: F.transform(c, lambda v: v - F.aggregate(c, F.lit(0.0), lambda a, x: a + x) / F.size(c))
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
-    centred = rows.select("user_id", z(F.col("y")).alias("y"), z(F.col("predicted")).alias("p"))
-    observed = centred.select("user_id", F.try_divide(dot("y", "p"), F.sqrt(dot("y", "y") * dot("p", "p"))).alias("obs"))
-    tested = stats.permutation_p(observed, null.select("user_id", F.col("r").alias("null_value")), ["user_id"])
+    found = nulls.observed(rows, "user_id", "y", "predicted").withColumnRenamed("r", "obs")
+    # Stored, as the correction reads it more than once.
+    tested = stored(stats.permutation_p(found, null.select("user_id", F.col("r").alias("null_value")), ["user_id"]))
     return stats.false_discovery(tested.withColumn("f", F.lit(1)), ["f"], "p").select("user_id", "obs", "p", "adjusted", "reject")
 
 
