@@ -2,7 +2,9 @@
 
 In every round all clusters that are each other's nearest merge at once. Complete linkage is reducible (a merged cluster is
 never nearer to others than its parts were), so the tree is that of merging the nearest pair of all, one at a time. Distances
-are rows, and every round is an aggregation of them; only the last few clusters of a family meet in one task.
+that are given are rows, and every round is an aggregation of them. Those of series are made again in every round, as products
+of blocks, of which only each cluster's nearest becomes a row: the time is that of all pairs, rows and memory are not. Only the
+last few clusters of a family meet in one task.
 """
 
 from __future__ import annotations
@@ -11,10 +13,10 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracelake.functions.shared import cut
+from tracelake.functions.shared import cut, stored
 from tracelake.functions.ship import ship
 from tracelake.operators import series
 from tracelake.operators.graphs import connected_components
@@ -23,12 +25,17 @@ from tracelake.operators.graphs import connected_components
 DIGITS = 12
 #: A family with no more pairs left than this (those of 256 clusters) is merged to its end in one place.
 TOGETHER = 256 * 255 // 2
+#: Values of the series of one block, and series whose products with a block are held at a time.
+VALUES, TILE = 1 << 20, 256
+
+
+def _z(values: str) -> Column:
+    return F.transform(series.zscored(series.doubles(values)), lambda v: F.coalesce(v, F.lit(0.0)))
 
 
 def distances(df: DataFrame, family: str, key: str, values: str) -> DataFrame:
     """(family, a, b, d) of all pairs a < b within a family: 1 less the correlation of their arrays of one length, in which null or NaN counts as the mean; 1 for a constant one."""
-    z = F.transform(series.zscored(series.doubles(values)), lambda v: F.coalesce(v, F.lit(0.0)))
-    rows = df.select(family, F.col(key).alias("a"), z.alias("za"))
+    rows = df.select(family, F.col(key).alias("a"), _z(values).alias("za"))
     other = rows.select(family, F.col("a").alias("b"), F.col("za").alias("zb"))
     dot = F.aggregate(F.zip_with("za", "zb", lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v) / F.size("za")
     return rows.join(other, family).where("a < b").select(family, "a", "b", F.round(1 - dot, DIGITS).alias("d"))
@@ -37,10 +44,118 @@ def distances(df: DataFrame, family: str, key: str, values: str) -> DataFrame:
 def reciprocal(left: DataFrame, family: str) -> DataFrame:
     """(family, a, b, height) of the pairs of left (family, a, b, d) that are each other's nearest."""
     ends = left.select(family, F.explode(F.array("a", "b")).alias("end"), F.struct("d", "a", "b").alias("pair"))
+    return _mutual(ends, family)
+
+
+def _mutual(ends: DataFrame, family: str) -> DataFrame:
+    """reciprocal() of (family, end, pair), pair being d, a and b."""
     nearest = ends.groupBy(family, "end").agg(F.min("pair").alias("pair")).select(family, "pair.a", "pair.b", "pair.d")
     return nearest.groupBy(family, "a", "b").agg(F.max("d").alias("height"), F.count("*").alias("n")).where("n = 2").drop("n")
 
 
+def _blocks(points: DataFrame, family: str) -> DataFrame:
+    """points (family, root, z) in blocks, once for each pair of blocks (one, two) of its family: adds block. A cluster's points are in one block."""
+    points = points.where(F.col("root").isNotNull() & F.col("z").isNotNull() & F.col(family).isNotNull()).withColumn("size", F.size("z"))
+    counts = points.groupBy(family, "size").agg(F.ceil(F.count("*") * F.col("size") / VALUES).alias("blocks"))
+    dealt = points.join(counts, [family, "size"]).withColumn("block", F.pmod(F.xxhash64("root"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return dealt.select(family, "size", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "root", "z")
+
+
+def _apart(whole: bool, every: bool, family: str):
+    """Of the points of one or two blocks, the nearest other cluster of each cluster (family, end, d, a, b), or every pair of clusters once (end null).
+
+    whole: points of one root are a cluster, as far from another as their farthest pair; else each stands for itself.
+    """
+
+    def run(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
+        points = points.sort_values("root", kind="stable")
+        sides = [points[points["block"] == b] for b in key[2:]]
+        (names, x, first), (others, y, second) = [_side(side, whole) for side in sides]
+        same, out, least, at = key[2] == key[3], [], np.full(len(others), np.inf), np.zeros(len(others), np.int64)
+        begin, edges = 0, np.append(first, len(x))
+        while begin < len(names) and len(others):
+            end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + TILE, side="right")) - 1)
+            dots = x[edges[begin] : edges[end]] @ y.T / key[1]
+            if len(y) > len(others):
+                dots = np.minimum.reduceat(dots, second, axis=1)
+            if len(dots) > end - begin:
+                dots = np.minimum.reduceat(dots, first[begin:end] - first[begin], axis=0)
+            d = np.round(1 - dots, DIGITS) + 0.0
+            if same:
+                d[names[begin:end, None] == others[None]] = np.inf
+            if every:
+                i, j = np.nonzero(np.triu(d < np.inf, begin + 1) if same else d < np.inf)
+                out.append((names[begin + i], others[j], d[i, j]))
+            else:
+                # Of equal distances the first, that of the least keys.
+                j = np.argmin(d, axis=1)
+                out.append((names[begin:end], others[j], d[np.arange(len(j)), j]))
+                i = np.argmin(d, axis=0)
+                near = d[i, np.arange(len(others))]
+                at, least = np.where(near < least, begin + i, at), np.minimum(least, near)
+            begin = end
+        if not (every or same) and len(names):
+            out.append((others, names[at], least))
+        columns = [np.concatenate([o[i] for o in out]) for i in range(3)] if out else [np.zeros(0, np.int64)] * 3
+        ends = None if every else columns[0]
+        rows = pd.DataFrame({family: [key[0]] * len(columns[0]), "end": ends, "d": columns[2], "a": np.minimum(*columns[:2]), "b": np.maximum(*columns[:2])})
+        return rows[rows["d"] < np.inf]
+
+    return run
+
+
+def _side(points: pd.DataFrame, whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Clusters, points, and where each cluster's points begin."""
+    roots = points["root"].to_numpy(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], roots[1:] != roots[:-1]))) if whole and len(roots) else np.arange(len(roots))
+    return roots[first], np.stack(points["z"].to_numpy()) if len(roots) else np.zeros((0, 0)), first
+
+
+def _made(points: DataFrame, family: str, whole: bool, every: bool) -> DataFrame:
+    ship(points.sparkSession)
+    kind = points.schema[family].dataType.simpleString()
+    return _blocks(points, family).groupBy(family, "size", "one", "two").applyInPandas(_apart(whole, every, family), f"{family} {kind}, end long, d double, a long, b long")
+
+
+def _points(df: DataFrame, family: str, key: str, values: str) -> DataFrame:
+    z = F.transform(_z(values), lambda v: F.nanvl(v, F.lit(0.0)))
+    return df.select(family, F.col(key).cast("long").alias("root"), z.alias("z"))
+
+
+def reciprocal_series(df: DataFrame, family: str, key: str, values: str) -> DataFrame:
+    """reciprocal() of distances(), without their rows; key: whole numbers. An infinite value makes its series count as constant, and null arrays are left out."""
+    found = _made(_points(df, family, key, values), family, False, False).select(family, "end", F.struct("d", "a", "b").alias("pair"))
+    return _mutual(found, family)
+
+
+def _merged(members: DataFrame, now: DataFrame, family: str) -> DataFrame:
+    """members (family, root, place, ...) after the merges of a round."""
+    sizes = members.groupBy(family, "root").agg(F.count("*").alias("_size"))
+    shift = now.join(sizes.withColumnRenamed("root", "a"), [family, "a"]).select(family, F.col("b").alias("root"), F.col("a").alias("_into"), "_size")
+    moved = members.join(shift, [family, "root"], "left").withColumn("place", F.col("place") + F.coalesce("_size", F.lit(0)))
+    return moved.withColumn("root", F.coalesce("_into", "root")).select(members.columns)
+
+
+def linked_series(df: DataFrame, family: str, key: str, values: str) -> tuple[DataFrame, DataFrame]:
+    """linked() of distances(), without their rows: they are made again, block by block, in each round. See reciprocal_series for odd values."""
+    points = _points(df, family, key, values).where(F.col("root").isNotNull() & F.col("z").isNotNull())
+    # One series for each key, the least where there are several.
+    points = points.groupBy(family, "root").agg(F.min("z").alias("z"))
+    members, made, rounds = stored(points.select(family, F.col("root").alias("leaf"), "root", F.lit(0).cast("long").alias("place"), "z")), [], 0
+    clusters_of = lambda m: m.select(family, "root").distinct().groupBy(family).count()
+    while (n := clusters_of(members.where(F.col(family).isNotNull())).agg(F.max("count")).first()[0] or 0) * (n - 1) // 2 > TOGETHER:
+        found = _made(members, family, True, False).select(family, "end", F.struct("d", "a", "b").alias("pair"))
+        now = stored(_mutual(found, family).withColumn("round", F.lit(rounds).cast("long")))
+        if now.isEmpty():
+            raise ValueError("series of one family differ in length")
+        made.append(now)
+        members = stored(_merged(members, now, family))
+        rounds += 1
+    left = stored(_made(members, family, True, True).select(family, "a", "b", "d"))
+    return _ended(df, family, key, members.drop("z"), left, made, rounds)
+
+
 def _rest(family: str):
     """Merge what is left of one family, at most TOGETHER pairs: its merges (b not null), and how far each cluster's leaves move on (b null)."""
 
@@ -88,11 +203,13 @@ def linked(df: DataFrame, family: str, key: str, d: DataFrame) -> tuple[DataFram
         moved = left.join(into("a"), [family, "a"], "left").join(into("b"), [family, "b"], "left")
         moved = moved.select(family, F.coalesce("into_a", "a").alias("x"), F.coalesce("into_b", "b").alias("y"), "d").where("x <> y")
         left = cut(moved.groupBy(family, F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max("d").alias("d")))
-        sizes = members.groupBy(family, "root").agg(F.count("*").alias("size"))
-        shift = now.join(sizes.withColumnRenamed("root", "a"), [family, "a"]).select(family, F.col("b").alias("root"), "a", "size")
-        members = members.join(shift, [family, "root"], "left")
-        members = cut(members.select(family, "leaf", F.coalesce("a", "root").alias("root"), (F.col("place") + F.coalesce("size", F.lit(0))).alias("place")))
+        members = cut(_merged(members, now, family))
         rounds += 1
+    return _ended(df, family, key, members, left, made, rounds)
+
+
+def _ended(df: DataFrame, family: str, key: str, members: DataFrame, left: DataFrame, made: list[DataFrame], rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Leaves and merges once what is left of each family is merged in one place."""
     ship(df.sparkSession)
     sizes = members.groupBy(family, "root").agg(F.count("*").alias("size"))
     kind = df.schema[family].dataType.simpleString()

@@ -34,8 +34,9 @@ n AS (SELECT label, k, arg_min({{'a': a, 'b': b, 'd': d}}, d) AS p FROM e GROUP
 SELECT label, p.a AS a, p.b AS b, round(p.d, 6) AS height FROM n GROUP BY 1, 2, 3, 4 HAVING count(*) = 2""")
 def first_merges(spark, sf_dir):
     """The pairs that are each other's nearest: what the first round of the clustering merges."""
-    found = linkage.reciprocal(linkage.distances(_vectors(spark, sf_dir), "label", "vec_id", "x"), "label")
-    return found.select("label", "a", "b", r6("height").alias("height"))
+    rows = _vectors(spark, sf_dir)
+    found, kind = linkage.reciprocal_series(rows, "label", "vec_id", "x"), rows.schema["vec_id"].dataType
+    return found.select("label", F.col("a").cast(kind).alias("a"), F.col("b").cast(kind).alias("b"), r6("height").alias("height"))
 
 
 @query()
