@@ -21,7 +21,7 @@ def _vectors(spark, sf_dir):
 def hclust(spark, sf_dir):
     """Complete linkage on correlation distance within each label, cut into three clusters, with the order of leaves."""
     rows = _vectors(spark, sf_dir)
-    leaves, merges = linkage.linked(rows, "label", "vec_id", linkage.distances(rows, "label", "vec_id", "x"))
+    leaves, merges = linkage.linked_series(rows, "label", "vec_id", "x")
     return linkage.clusters(leaves, merges, "label", "vec_id", count=3)
 
 
