@@ -5,12 +5,19 @@ from __future__ import annotations
 from functools import reduce
 from itertools import product
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracelake.functions.shared import stored
+from tracelake.functions.ship import ship
 from tracelake.operators.columns import ratio, safe_corr
 from tracelake.operators.graphs import connected_components
 
+#: Pixels on a side of the squares that are labelled in one place.
+SIDE = 256
+
 
 def pruned(df: DataFrame, key: str, masked: Column) -> DataFrame:
     """Pixels (key, y, x, ...) of rows and columns of their image that are not masked throughout."""
@@ -77,22 +84,61 @@ def neighbour_correlation(frames: DataFrame, values: str, shape: tuple[int, ...]
 def components(df: DataFrame, key: str, least: int = 1, largest: bool = False) -> DataFrame:
     """Pixels (key, y, x) by the connected component (corners included) of their image: adds component (from 1, by first pixel) and n.
 
-    Components of fewer than `least` pixels are dropped, or all but the largest (the first of equally large ones). Pixels
-    meet their neighbours at an equi-join; all images are labelled together.
+    Components of fewer than `least` pixels are dropped, or all but the largest (the first of equally large ones). Pixels of a
+    square of SIDE are labelled in one place; only what touches across the edges of squares meets at joins, all images together.
     """
     here = df.select(key, "y", "x").distinct()
-    cell = F.struct(key, "y", "x")
+    own = stored(_labelled(here, key))
     steps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((0, 1), (1, -1), (1, 0), (1, 1))])
-    near = here.select(key, F.col("y").alias("_y"), F.col("x").alias("_x"), F.explode(steps).alias("d")).select(key, "_y", "_x", (F.col("_y") + F.col("d.dy")).alias("y"), (F.col("_x") + F.col("d.dx")).alias("x"))
-    edges = near.join(here, [key, "y", "x"]).select(F.struct(key, F.col("_y").alias("y"), F.col("_x").alias("x")).alias("a"), cell.alias("b"))
-    roots = connected_components(edges).select(F.col(f"node.{key}").alias(key), F.col("node.y").alias("y"), F.col("node.x").alias("x"), F.struct(F.col("root.y").alias("y"), F.col("root.x").alias("x")).alias("first"))
-    labelled = here.join(roots, [key, "y", "x"], "left").withColumn("first", F.coalesce("first", F.struct("y", "x")))
-    sizes = labelled.groupBy(key, "first").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    edge = own.where(F.pmod("y", F.lit(SIDE)).isin(0, SIDE - 1) | F.pmod("x", F.lit(SIDE)).isin(0, SIDE - 1))
+    near = edge.select(key, F.struct(key, "fy", "fx").alias("a"), F.struct(_square("y"), _square("x")).alias("_in"), F.explode(steps).alias("d"), "y", "x")
+    near = near.select(key, "a", "_in", (F.col("y") + F.col("d.dy")).alias("y"), (F.col("x") + F.col("d.dx")).alias("x")).where(F.col("_in") != F.struct(_square("y"), _square("x")))
+    edges = near.join(edge, [key, "y", "x"]).select("a", F.struct(key, "fy", "fx").alias("b")).distinct()
+    roots = connected_components(edges).select(F.col(f"node.{key}").alias(key), F.col("node.fy").alias("fy"), F.col("node.fx").alias("fx"), F.struct(F.col("root.fy").alias("y"), F.col("root.fx").alias("x")).alias("first"))
+    # One row for each square's own components, with their first pixel in the image and how many pixels they have.
+    parts = own.groupBy(key, "fy", "fx").agg(F.count("*").alias("_n")).join(roots, [key, "fy", "fx"], "left")
+    parts = stored(parts.withColumn("first", F.coalesce("first", F.struct(F.col("fy").alias("y"), F.col("fx").alias("x")))))
+    sizes = parts.groupBy(key, "first").agg(F.sum("_n").alias("n")).where(F.col("n") >= least)
     if largest:
         sizes = sizes.groupBy(key).agg(F.min_by(F.struct("first", "n"), F.struct(-F.col("n"), "first")).alias("s")).select(key, "s.first", "s.n")
-    order = sizes.groupBy(key).agg(F.sort_array(F.collect_list("first")).alias("order"))
-    numbered = order.select(key, F.posexplode("order").alias("component", "first")).withColumn("component", (F.col("component") + 1).cast("long"))
-    return labelled.join(sizes, [key, "first"]).join(numbered, [key, "first"]).drop("first")
+    order = sizes.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("first", "n"))).alias("order"))
+    numbered = order.select(key, F.posexplode("order").alias("component", "s")).select(key, "s.first", "s.n", (F.col("component") + 1).cast("long").alias("component"))
+    named = parts.join(numbered, [key, "first"]).select(key, "fy", "fx", "n", "component")
+    return own.join(named, [key, "fy", "fx"]).select(key, "y", "x", "n", "component")
+
+
+def _square(c: str) -> Column:
+    return F.floor(F.col(c) / SIDE)
+
+
+def _labelled(pixels: DataFrame, key: str) -> DataFrame:
+    """Pixels (key, y, x; none null) with fy and fx, the first pixel of their component within their square."""
+    ship(pixels.sparkSession)
+    kinds = {c: pixels.schema[c].dataType.simpleString() for c in (key, "y", "x")}
+
+    def run(square: pd.DataFrame) -> pd.DataFrame:
+        square = square.sort_values(["y", "x"], kind="stable")
+        y, x = (square[c].to_numpy(np.int64) for c in ("y", "x"))
+        width = SIDE + 2  # so that what is left of a row's first pixel is nothing
+        cell = (y - y.min()) * width + x % SIDE
+        pairs = []
+        for step in (1, width - 1, width, width + 1):
+            at = np.minimum(np.searchsorted(cell, cell + step), len(cell) - 1)
+            found = np.flatnonzero(cell[at] == cell + step)
+            pairs.append((found, at[found]))
+        a, b = (np.concatenate(p) for p in zip(*pairs))
+        first, before = np.arange(len(cell)), None
+        while before is None or (first != before).any():
+            before = first.copy()
+            least = np.minimum(first[a], first[b])
+            # The roots of both ends are linked as well, so that long lines take few rounds.
+            for at in (before[a], before[b], a, b):
+                np.minimum.at(first, at, least)
+            first = first[first]
+        return square[[key, "y", "x"]].assign(fy=y[first], fx=x[first])
+
+    squares = pixels.where(F.col(key).isNotNull() & F.col("y").isNotNull() & F.col("x").isNotNull()).withColumns({"_y": _square("y"), "_x": _square("x")})
+    return squares.groupBy(key, "_y", "_x").applyInPandas(run, ", ".join(f"{n} {k}" for n, k in kinds.items()) + f", fy {kinds['y']}, fx {kinds['x']}")
 
 
 def centroids(df: DataFrame, key: str, label: str, weight: Column | None = None) -> DataFrame:
