@@ -51,3 +51,30 @@ def test_stitches_are_those_of_greedy_merging(spark, reach):
 def test_stitches_of_no_trees(spark):
     df = spark.createDataFrame([], TREE)
     assert stitching.stitches(df, "f", 1.0).collect() == []
+
+
+def test_crowded_trees_meet_few_nodes(spark, monkeypatch):
+    """A first search that reaches everything is narrowed, so that edges grow as the nodes do and not with their square."""
+    rng = random.Random(3)
+    rows = [("a", i // 3, i, None if i % 3 == 0 else i - 1, *[rng.random() for _ in range(3)]) for i in range(900)]
+    found, search = [], stitching.near_nodes
+
+    def counted(*args):
+        edges = search(*args).localCheckpoint()
+        found.append(edges.count())
+        return edges
+
+    monkeypatch.setattr(stitching, "near_nodes", counted)
+    got = stitching.stitches(spark.createDataFrame(rows, TREE), "f", 2.0).collect()
+    assert sorted((r.f, r.child, r.host, r.node, round(r.d, 9)) for r in got) == _greedy(rows)
+    # All pairs of 300 trees were 89,700 edges.
+    assert sum(found) < 20 * len(rows)
+
+
+def test_roots_at_one_place_are_no_crowd(spark):
+    """Halving ends where only roots and nodes at the very same place are left together."""
+    rows = [("a", i, i, None, 1.0, 2.0, 3.0) for i in range(6)] + [("a", 9, 9, None, 5.0, 2.0, 3.0)]
+    df = spark.createDataFrame(rows, TREE)
+    assert stitching.first_reach(df, df, "f", 16.0) > 0
+    got = stitching.stitches(df, "f", 16.0).collect()
+    assert sorted((r.f, r.child, r.host, r.node, round(r.d, 9)) for r in got) == _greedy(rows)

@@ -13,21 +13,39 @@ from tracelake.operators.graphs import depths
 _AXES = ("x", "y", "z")
 
 
+def _cells(reach: float, prefix: str = "") -> list:
+    return [F.floor(F.col(f"{prefix}{c}") / reach) for c in _AXES]
+
+
+def first_reach(roots: DataFrame, nodes: DataFrame, family: str, reach: float) -> float:
+    """reach, halved until a node has on average no more than one root in its own cell, roots at the very place of nodes aside.
+
+    A search within more would meet a number of pairs that grows with the square of the number of trees.
+    """
+    places = nodes.select(family, *_AXES, F.lit(0).alias("r"), F.lit(1).alias("n")).unionByName(roots.select(family, *_AXES, F.lit(1).alias("r"), F.lit(0).alias("n")))
+    at = places.groupBy(family, *_AXES).agg(F.sum("r").alias("r"), F.sum("n").alias("n"))
+    meet = lambda cells: cells.agg(F.sum(F.col("r").cast("double") * F.col("n")), F.sum("n")).first()
+    same, total = meet(at)
+    while total is not None and meet(at.groupBy(family, *_cells(reach)).agg(F.sum("r").alias("r"), F.sum("n").alias("n")))[0] > total + same:
+        reach /= 2
+    return reach
+
+
 def near_nodes(roots: DataFrame, nodes: DataFrame, family: str, reach: float) -> DataFrame:
-    """(family, child, host, node, d): the node of each other tree that is nearest to a root, where within `reach` of it; of equally near ones the least.
+    """(family, child, host, node, d): the node of each other group that is nearest to a root, where within `reach` of it; of equally near ones the least by host and node.
 
-    roots: family, tree, x, y, z; nodes: the same and node. Roots go to the 27 cells around them, nodes to their own, so a
-    node is sent once whatever the number of roots. The pairs of two trees meet as partial minima.
+    roots: family, tree, x, y, z; nodes: the same, node and root, the tree at the top of the node's group. Roots go to the 27
+    cells around them, nodes to their own, so a node is sent once whatever the number of roots. The pairs of a root and a group
+    meet as partial minima.
     """
-    cell = lambda c: F.floor(F.col(c) / reach)
     around = roots.select(family, F.col("tree").alias("child"), *[F.col(c).alias(f"r{c}") for c in _AXES])
-    for c in _AXES:
-        around = around.withColumn(f"c{c}", F.explode(F.array(*[F.floor(F.col(f"r{c}") / reach) + i for i in (-1, 0, 1)])))
-    placed = nodes.select(family, F.col("tree").alias("host"), "node", *_AXES, *[cell(c).alias(f"c{c}") for c in _AXES])
+    for c, cell in zip(_AXES, _cells(reach, "r")):
+        around = around.withColumn(f"c{c}", F.explode(F.array(*[cell + i for i in (-1, 0, 1)])))
+    placed = nodes.select(family, "root", F.col("tree").alias("host"), "node", *_AXES, *[cell.alias(f"c{c}") for c, cell in zip(_AXES, _cells(reach))])
     d = F.sqrt(sum(((F.col(c) - F.col(f"r{c}")) * (F.col(c) - F.col(f"r{c}")) for c in _AXES), F.lit(0.0)))
-    pairs = around.join(placed, [family, "cx", "cy", "cz"]).where("child <> host").withColumn("d", d).where(F.col("d") <= reach)
-    least = pairs.groupBy(family, "child", "host").agg(F.min(F.struct("d", "node")).alias("least"))
-    return least.select(family, "child", "host", "least.node", "least.d")
+    pairs = around.join(placed, [family, "cx", "cy", "cz"]).where("child <> root").withColumn("d", d).where(F.col("d") <= reach)
+    least = pairs.groupBy(family, "child", "root").agg(F.min(F.struct("d", "host", "node")).alias("least"))
+    return least.select(family, "child", "least.host", "least.node", "least.d")
 
 
 def _round(edges: DataFrame, groups: DataFrame, family: str) -> DataFrame:
@@ -51,8 +69,10 @@ def stitches(nodes: DataFrame, family: str, reach: float) -> DataFrame:
     nodes: family, tree, node, parent (null for a tree's root), x, y, z. Of all pairs of a root and another tree the nearest
     is joined first, ties going by child, host and node; then the nearest of what is left, a joined root being no root any
     more and trees joined already no pair, until one root is left in each family. Distances are those to the nodes as given.
-    Searches begin within `reach` and double it, which changes no result: all shorter links are settled by then. Families,
-    trees or coordinates that are null or NaN are never joined; a tree of several roots counts by its least node among them.
+    Searches begin within `reach`, or a half, a quarter ... of it where trees are crowded (see first_reach), and double it, which
+    changes no result: all shorter links are settled by then. Roots that are left are farther than that from all other groups, so
+    only so many of them fit around a node and pairs grow as the nodes do. Families, trees or coordinates that are null or NaN
+    are never joined; a tree of several roots counts by its least node among them.
     """
     whole = nodes.where(F.col(family).isNotNull() & F.col("tree").isNotNull() & F.col("node").isNotNull())
     placed = whole
@@ -64,13 +84,14 @@ def stitches(nodes: DataFrame, family: str, reach: float) -> DataFrame:
     box = placed.groupBy(family).agg(*[(F.max(c) - F.min(c)).alias(c) for c in _AXES])
     widest = box.agg(F.max(F.sqrt(sum((F.col(c) * F.col(c) for c in _AXES), F.lit(0.0))))).first()[0]
     links = []
+    reach = first_reach(roots, placed, family, reach)
     while widest is not None:
         # Roots of families in which there is still another group.
         open_ = groups.groupBy(family).agg(F.countDistinct("root").alias("n")).where("n > 1").select(family)
         left = cut(roots.join(groups.where("tree = root").select(family, "tree"), [family, "tree"]).join(open_, family))
         if left.isEmpty():
             break
-        edges = stored(near_nodes(left, placed.join(open_, family), family, reach))
+        edges = stored(near_nodes(left, placed.join(open_, family).join(groups, [family, "tree"]), family, reach))
         while True:
             taken = _round(edges, groups, family)
             if taken.isEmpty():
