@@ -43,3 +43,25 @@ def test_arrays_of_samples(spark):
     want = ridge.standardised(design, "t") @ [1.0, -1.0]
     assert len(got) == 301 and not any(got[300].y) and all(np.allclose(r.predicted, want) for r in got.values())
     assert all(got[k].y == [float(k + t) if t in (2, 5) else 0.0 for t in range(10)] for k in range(300))
+
+
+def test_surrogates_of_equal_series_are_made_once_in_a_place(spark, monkeypatch, tmp_path):
+    """Series that are equal meet, so the work is that of the distinct ones; r is each series' own."""
+    made = nulls.surrogates
+
+    def counted(x, seed, numbers):
+        (tmp_path / f"{hash(x.tobytes())}-{numbers.start}-{np.random.default_rng().integers(1 << 60)}").touch()
+        return made(x, seed, numbers)
+
+    monkeypatch.setattr(nulls, "surrogates", counted)
+    rng = np.random.default_rng(4)
+    kinds = [np.where(rng.random(60) < 0.3, rng.normal(size=60), 0.0) for _ in range(5)]
+    rows = [(k, kinds[k % 5].tolist(), rng.normal(size=60).tolist()) for k in range(200)]
+    df = spark.createDataFrame(rows, "k long, y array<double>, p array<double>")
+    got = {(r.k, r.number): r.r for r in nulls.null_correlations(df, "k", "y", "p", "surrogate", count=6, seed=2).collect()}
+    assert len(got) == 1200
+    for k in (0, 7, 199):
+        want = [np.corrcoef(x, rows[k][2])[0, 1] for x in made(kinds[k % 5], 2, range(6))]
+        assert np.allclose([got[k, i] for i in range(6)], want)
+    # One for each of 200 series before.
+    assert len(list(tmp_path.iterdir())) <= 5 * nulls.PLACES

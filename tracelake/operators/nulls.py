@@ -21,6 +21,8 @@ from tracelake.functions.ship import map_arrow
 TRIES = 10_000
 #: Series that are worked on at a time, and numbers of orders that are kept for the next ones: they bound a task's memory.
 AT_ONCE, HELD = 256, 1 << 21
+#: Equal series, whose surrogates are the same, are dealt to so many places at most: one is as many tasks' work as that.
+PLACES = 4
 
 
 def _rng(seed: int, number: int) -> np.random.Generator:
@@ -137,8 +139,13 @@ def _z(x: np.ndarray) -> np.ndarray | None:
 
 
 def _arrays(series: DataFrame, key: str, *columns: str) -> DataFrame:
-    """The key and columns as arrays of doubles, dealt out by key."""
-    return series.select(key, *[F.col(c).cast("array<double>").alias(f"_{i}") for i, c in enumerate(columns)]).repartition(key)
+    """The key and columns as arrays of doubles."""
+    return series.select(key, *[F.col(c).cast("array<double>").alias(f"_{i}") for i, c in enumerate(columns)])
+
+
+def _by_value(arrays: DataFrame, key: str) -> DataFrame:
+    """The rows of _arrays() dealt so that those of equal first arrays follow each other, in PLACES places or fewer."""
+    return arrays.withColumn("_of", F.xxhash64("_0")).repartition("_of", F.pmod(F.xxhash64(key), F.lit(PLACES))).sortWithinPartitions("_of").drop("_of")
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[tuple]]]:
@@ -163,7 +170,8 @@ def null_correlations(series: DataFrame, key: str, y: str, predicted: str, kind:
 
     kind: chunk, shuffle, circular (rotations and their mirror images, in turn) or surrogate, which is each series' own. A pair
     of arrays that differ in length, are too short for the kind, hold null or NaN, or where one is constant, has r null. Series
-    are dealt out once, and a task makes `batch` numbers at a time of its AT_ONCE series.
+    are dealt out once, and a task makes `batch` numbers at a time of its AT_ONCE series. Surrogates follow from a series'
+    values, so of equal series that meet they are made once.
     """
     stim = None if stimulus is None else np.asarray(stimulus, float)
     chunks = [range(i, min(count, i + batch)) for i in range(first, count, batch)]
@@ -186,10 +194,13 @@ def null_correlations(series: DataFrame, key: str, y: str, predicted: str, kind:
             whole = [(i, p) for i, p in whole if p is not None]
             # A batch of numbers for all series of the slice, so that an order serves them all.
             for numbers in chunks:
+                last = made = None
                 for i, (a, za, zb) in whole:
                     own = out[i, numbers.start - first : numbers.stop - first]
                     if kind == "surrogate":
-                        own[:] = _z(surrogates(a, seed, numbers)) @ zb / len(a)
+                        if last is None or not np.array_equal(a, last):
+                            last, made = a, _z(surrogates(a, seed, numbers))
+                        own[:] = made @ zb / len(a)
                     elif (order := orders(len(a), numbers, known)) is not None:
                         own[:] = za[order] @ zb / len(a)
             number = np.tile(np.arange(first, first + out.shape[1], dtype=np.int32), len(keys))
@@ -197,7 +208,8 @@ def null_correlations(series: DataFrame, key: str, y: str, predicted: str, kind:
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(np.repeat(np.arange(len(keys)), out.shape[1]))), pa.array(number), r], [key, "number", "r"])
 
     kind_of_key = series.schema[key].dataType.simpleString()
-    return map_arrow(_arrays(series, key, y, predicted), run, f"{key} {kind_of_key}, number int, r double")
+    arrays = _arrays(series, key, y, predicted)
+    return map_arrow(_by_value(arrays, key) if kind == "surrogate" else arrays.repartition(key), run, f"{key} {kind_of_key}, number int, r double")
 
 
 def observed(series: DataFrame, key: str, y: str, predicted: str) -> DataFrame:
@@ -209,7 +221,7 @@ def observed(series: DataFrame, key: str, y: str, predicted: str) -> DataFrame:
             r = [None if p is None else float(p[1] @ p[2] / len(p[0])) for p in found]
             yield pa.RecordBatch.from_arrays([keys, pa.array(r, pa.float64())], [key, "r"])
 
-    return map_arrow(_arrays(series, key, y, predicted), run, f"{key} {series.schema[key].dataType.simpleString()}, r double")
+    return map_arrow(_arrays(series, key, y, predicted).repartition(key), run, f"{key} {series.schema[key].dataType.simpleString()}, r double")
 
 
 def null_filters(series: DataFrame, design: np.ndarray, key: str, y: str, penalty: float, kind: str = "shuffle", count: int = 200, seed: int = 1, splits: int = 10, least: int = 3) -> DataFrame:
