@@ -81,3 +81,23 @@ def test_a_window_has_the_percentile_of_its_values(spark, tmp_path):
     stream = windows.stream_percentiles(spark.readStream.schema(SCHEMA).parquet(str(tmp_path)), "k", "v", 0.5, "20 seconds", "10 seconds", "5 seconds")
     got = {int(r.window_start.timestamp() - START.timestamp()): (r.n, r.low) for r in windows.drained(stream).collect()}
     assert got == {-10: (9, pytest.approx(5.0)), 0: (19, pytest.approx(10.0)), 10: (20, pytest.approx(19.5)), 20: (20, pytest.approx(29.5)), 30: (20, pytest.approx(39.5))}
+
+
+def test_many_keys_share_few_states(spark, tmp_path, monkeypatch):
+    """A state for each key, and calls for each, took most of the time; keys of one place keep their own blocks, and a NaN isn't null."""
+    monkeypatch.setattr(blocks, "PLACES", 16, raising=False)
+    folder = str(tmp_path / "in")
+    rows = [(f"k{i % 1500}", START + dt.timedelta(seconds=i // 1500), BIG + i, float(i), None) for i in range(1500 * 7)]
+    rows += [("end", START + dt.timedelta(seconds=60), None, None, None), ("k7", START, BIG - 1, float("nan"), None)]
+    _write(spark, folder, rows)
+    before = spark.conf.get(blocks.STORE[0])
+    spark.conf.set(*blocks.STORE)
+    query = _stream(spark, folder).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    spark.conf.set(blocks.STORE[0], before)
+    query.awaitTermination()
+    # Before, one or more for each of 1,501 keys.
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) < 200
+    got = spark.read.parquet(str(tmp_path / "out")).where("k <> 'k7'")
+    assert _rows(got) == _expected([r for r in rows if r[0] != "k7"])
+    own = spark.read.parquet(str(tmp_path / "out")).where("k = 'k7'").orderBy("block", "place").collect()
+    assert len(own) == 6 and own[0].id == BIG - 1 and own[0].v != own[0].v
