@@ -65,3 +65,26 @@ def test_surrogates_of_equal_series_are_made_once_in_a_place(spark, monkeypatch,
         assert np.allclose([got[k, i] for i in range(6)], want)
     # One for each of 200 series before.
     assert len(list(tmp_path.iterdir())) <= 5 * nulls.PLACES
+
+
+def test_nulls_take_arrays_in_the_task_that_makes_them(spark):
+    """Arrays that become rows between two functions come in batches of thousands."""
+    from tracelake.plans import catalogue
+
+    for name in ("circular_null", "shuffled_filters"):
+        plan = catalogue.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("MapInArrow") == 1
+
+
+def test_arrays_handed_on_are_those_of_rows(spark):
+    design = spark.createDataFrame([(t, [float(t % 7), float(t % 3)]) for t in range(40)], "t long, x array<double>")
+    samples = spark.createDataFrame([(k, t, float((k * 7 + t * 5) % 11)) for k in range(300) for t in range(0, 40, 3)], "k long, t long, y double")
+    filters = spark.createDataFrame([(k, [1.0, -0.5]) for k in range(301)], "k long, filter array<double>")
+    rows = ridge.with_arrays(samples, filters, design, "k", "t", "y")
+    options = {"kind": "circular", "count": 9, "least": 4}
+    same = lambda df: sorted(map(tuple, df.collect()))
+    got = same(ridge.with_arrays(samples, filters, design, "k", "t", "y", then=nulls.correlating("k", "bigint", **options)))
+    assert got and repr(got) == repr(same(nulls.null_correlations(rows, "k", "y", "predicted", **options)))
+    z = ridge.standardised(design, "t")
+    got = same(ridge.with_arrays(samples, filters, design, "k", "t", "y", then=nulls.filtering(spark, z, "k", "bigint", 2.0, count=5)))
+    assert got and got == same(nulls.null_filters(rows, z, "k", "y", 2.0, count=5))

@@ -6,12 +6,12 @@ one makes the same again. Series are spread over tasks together with batches of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -165,14 +165,8 @@ def _pair(a: np.ndarray | None, b: np.ndarray | None) -> tuple[np.ndarray, np.nd
     return None if za is None or zb is None else (a, za, zb)
 
 
-def null_correlations(series: DataFrame, key: str, y: str, predicted: str, kind: str = "chunk", count: int = 200, seed: int = 1, splits: int = 10, least: int = 3, batch: int = 50, stimulus: list[float] | None = None, first: int = 0) -> DataFrame:
-    """(key, number, r): correlation of each series, permuted, with its prediction (an array of the same length), for the numbers from `first` up to `count`.
-
-    kind: chunk, shuffle, circular (rotations and their mirror images, in turn) or surrogate, which is each series' own. A pair
-    of arrays that differ in length, are too short for the kind, hold null or NaN, or where one is constant, has r null. Series
-    are dealt out once, and a task makes `batch` numbers at a time of its AT_ONCE series. Surrogates follow from a series'
-    values, so of equal series that meet they are made once.
-    """
+def correlating(key: str, kind_of_key: str, kind: str = "chunk", count: int = 200, seed: int = 1, splits: int = 10, least: int = 3, batch: int = 50, stimulus: list[float] | None = None, first: int = 0) -> tuple[Callable, str]:
+    """What null_correlations() does with batches of key, series and prediction, and the schema of what it makes; see ridge.with_arrays."""
     stim = None if stimulus is None else np.asarray(stimulus, float)
     chunks = [range(i, min(count, i + batch)) for i in range(first, count, batch)]
 
@@ -207,9 +201,19 @@ def null_correlations(series: DataFrame, key: str, y: str, predicted: str, kind:
             r = pa.array(out.ravel(), from_pandas=True)
             yield pa.RecordBatch.from_arrays([keys.take(pa.array(np.repeat(np.arange(len(keys)), out.shape[1]))), pa.array(number), r], [key, "number", "r"])
 
-    kind_of_key = series.schema[key].dataType.simpleString()
+    return run, f"{key} {kind_of_key}, number int, r double"
+
+
+def null_correlations(series: DataFrame, key: str, y: str, predicted: str, kind: str = "chunk", **options) -> DataFrame:
+    """(key, number, r): correlation of each series, permuted, with its prediction (an array of the same length), for the numbers from `first` up to `count`.
+
+    kind: chunk, shuffle, circular (rotations and their mirror images, in turn) or surrogate, which is each series' own; other
+    options are those of correlating(). A pair of arrays that differ in length, are too short for the kind, hold null or NaN, or
+    where one is constant, has r null. Series are dealt out once, and a task makes `batch` numbers at a time of its AT_ONCE
+    series. Surrogates follow from a series' values, so of equal series that meet they are made once.
+    """
     arrays = _arrays(series, key, y, predicted)
-    return map_arrow(_by_value(arrays, key) if kind == "surrogate" else arrays.repartition(key), run, f"{key} {kind_of_key}, number int, r double")
+    return map_arrow(_by_value(arrays, key) if kind == "surrogate" else arrays.repartition(key), *correlating(key, series.schema[key].dataType.simpleString(), kind, **options))
 
 
 def observed(series: DataFrame, key: str, y: str, predicted: str) -> DataFrame:
@@ -224,19 +228,15 @@ def observed(series: DataFrame, key: str, y: str, predicted: str) -> DataFrame:
     return map_arrow(_arrays(series, key, y, predicted).repartition(key), run, f"{key} {series.schema[key].dataType.simpleString()}, r double")
 
 
-def null_filters(series: DataFrame, design: np.ndarray, key: str, y: str, penalty: float, kind: str = "shuffle", count: int = 200, seed: int = 1, splits: int = 10, least: int = 3) -> DataFrame:
-    """(key, i, mean, median, sd) of each weight of the ridge filter over refits on `count` permutations of each standardised series.
-
-    design: standardised, a row for each sample (see ridge.standardised). A refit is a product with one matrix for all series. A
-    series that null_correlations() gives no r for has no rows.
-    """
+def filtering(spark: SparkSession, design: np.ndarray, key: str, kind_of_key: str, penalty: float, kind: str = "shuffle", count: int = 200, seed: int = 1, splits: int = 10, least: int = 3) -> tuple[Callable, str]:
+    """What null_filters() does with batches of key and series (and more), and the schema of what it makes; see ridge.with_arrays."""
     solver = np.linalg.solve(design.T @ design + penalty * np.eye(design.shape[1]), design.T)
-    shared = series.sparkSession.sparkContext.broadcast(solver)
+    shared = spark.sparkContext.broadcast(solver)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders, width = None, len(shared.value)
         for keys, values in _slices(batches):
-            found = [(i, _pair(a, a)) for i, (a,) in enumerate(values) if a is not None and len(a) == shared.value.shape[1]]
+            found = [(i, _pair(a, a)) for i, (a, *_) in enumerate(values) if a is not None and len(a) == shared.value.shape[1]]
             of, stats = [], np.zeros((0, 3))
             for i, pair in found:
                 if pair is None:
@@ -253,9 +253,16 @@ def null_filters(series: DataFrame, design: np.ndarray, key: str, y: str, penalt
             columns = [keys.take(pa.array(np.repeat(np.array(of, np.int64), width))), pa.array(np.tile(np.arange(width, dtype=np.int32), len(of))), *map(pa.array, stats.T.copy())]
             yield pa.RecordBatch.from_arrays(columns, [key, "i", "mean", "median", "sd"])
 
-    kind_of_key = series.schema[key].dataType.simpleString()
-    rows = series.select(key, F.col(y).cast("array<double>").alias("y"))
-    return map_arrow(rows, run, f"{key} {kind_of_key}, i int, mean double, median double, sd double")
+    return run, f"{key} {kind_of_key}, i int, mean double, median double, sd double"
+
+
+def null_filters(series: DataFrame, design: np.ndarray, key: str, y: str, penalty: float, **options) -> DataFrame:
+    """(key, i, mean, median, sd) of each weight of the ridge filter over refits on `count` permutations of each standardised series.
+
+    design: standardised, a row for each sample (see ridge.standardised); options are those of filtering(). A refit is a product
+    with one matrix for all series. A series that null_correlations() gives no r for has no rows.
+    """
+    return map_arrow(_arrays(series, key, y), *filtering(series.sparkSession, design, key, series.schema[key].dataType.simpleString(), penalty, **options))
 
 
 def resumed(series: DataFrame, folder: str, key: str, y: str, predicted: str, count: int, step: int = 100, **options) -> DataFrame:

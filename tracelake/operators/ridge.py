@@ -7,7 +7,7 @@ as large as the number of regressors, series by series, so neither long recordin
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -189,9 +189,12 @@ def standardised(design: DataFrame, t: str) -> np.ndarray:
     return np.divide(x - x.mean(axis=0), scale, out=np.zeros_like(x), where=scale > 1e-12)
 
 
-def with_arrays(samples: DataFrame, filters: DataFrame, design: DataFrame, key: str, t: str, y: str) -> DataFrame:
+def with_arrays(samples: DataFrame, filters: DataFrame, design: DataFrame, key: str, t: str, y: str, then: tuple[Callable, str] | None = None) -> DataFrame:
     """(key, y, predicted) of each series with a filter, as arrays over the design's times, in order: a time without a sample is 0.
 
+    then: a function of batches of these, AT_ONCE series each, and the schema of its rows, which are returned instead. Arrays
+    then never become rows, batches of which would hold thousands of them.
+
     samples: one row for each key and time; those at other times than the design's count for nothing.
     """
     spark = design.sparkSession
@@ -215,4 +218,8 @@ def with_arrays(samples: DataFrame, filters: DataFrame, design: DataFrame, key:
 
     kind = samples.schema[key].dataType.simpleString()
     rows = filters.select(key, "filter").join(own, key, "left").select(key, "filter", F.col("own.t").alias("ts"), F.col("own.y").alias("ys"))
-    return map_arrow(rows, run, f"{key} {kind}, y array<double>, predicted array<double>")
+    if then is None:
+        return map_arrow(rows, run, f"{key} {kind}, y array<double>, predicted array<double>")
+    made, schema = then
+    # Compact rows would be put together by size, whatever work they are.
+    return map_arrow(rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key), lambda batches: made(run(batches)), schema)

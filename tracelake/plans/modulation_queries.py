@@ -91,8 +91,8 @@ def surrogate_null(spark, sf_dir):
 def shuffled_filters(spark, sf_dir):
     """Mean, median and deviation of each weight over refits on shuffled series."""
     samples, design = _lagged(spark, sf_dir)
-    rows = ridge.with_arrays(samples, _fitted(samples, design), design, "user_id", "t", "y")
-    return nulls.null_filters(rows, ridge.standardised(design, "t"), "user_id", "y", penalty=10.0, count=100)
+    refits = nulls.filtering(spark, ridge.standardised(design, "t"), "user_id", samples.schema["user_id"].dataType.simpleString(), penalty=10.0, count=100)
+    return ridge.with_arrays(samples, _fitted(samples, design), design, "user_id", "t", "y", then=refits)
 
 
 LEAST_SHIFT = 10
@@ -109,9 +109,9 @@ def circular_null(spark, sf_dir):
     samples, design = _recording(spark, sf_dir)
     plain = design.select("t", F.array("a").cast("array<double>").alias("x"))
     users = samples.select("user_id").distinct().withColumn("filter", F.array(F.lit(1.0)))
-    rows = ridge.with_arrays(samples, users, plain, "user_id", "t", "y")
     length = design.count()
     every = len(nulls.rotations(length, LEAST_SHIFT))
-    null = nulls.null_correlations(rows, "user_id", "y", "predicted", kind="circular", count=every, least=LEAST_SHIFT, batch=200).where("r is not null")
+    turned = nulls.correlating("user_id", samples.schema["user_id"].dataType.simpleString(), kind="circular", count=every, least=LEAST_SHIFT, batch=200)
+    null = ridge.with_arrays(samples, users, plain, "user_id", "t", "y", then=turned).where("r is not null")
     return null.groupBy("user_id").agg(F.count("*").alias("n"), r6(F.avg("r")).alias("mean_r"), r6(F.min("r")).alias("least_r"), r6(F.max("r")).alias("most_r"))
 
