@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +24,12 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return linked.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(own).where("a <> b")
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, most_rounds: int = 60, cut: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """(node, root) of every node with an edge; root is the least node that it reaches.
 
     edges: columns a and b of one ordered type; loops, repeats and nulls count for nothing. Alternates large and small
     stars until the edges stop changing, which takes rounds in the order of the logarithm of the graph's size; each round
-    is checkpointed. Raises RuntimeError if most_rounds don't suffice.
+    is checkpointed, or kept by another `cut`. Raises RuntimeError if most_rounds don't suffice.
     """
     edges = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None
