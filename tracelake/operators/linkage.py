@@ -2,9 +2,11 @@
 
 In every round all clusters that are each other's nearest merge at once. Complete linkage is reducible (a merged cluster is
 never nearer to others than its parts were), so the tree is that of merging the nearest pair of all, one at a time. Distances
-that are given are rows, and every round is an aggregation of them. Those of series are made again in every round, as products
-of blocks, of which only each cluster's nearest becomes a row: the time is that of all pairs, rows and memory are not. Only the
-last few clusters of a family meet in one task.
+that are given are rows, and every round is an aggregation of them. Those of series are made again, as products of blocks, of
+which only each cluster's nearest become rows: the time is that of all pairs, rows and memory are not. A cluster's list of its
+nearest decides more than one round (a cluster is as far from two merged ones as from the farther, and no nearer to what the
+lists leave out than their ends say), so that few such passes are needed. Only lists of a bounded size, and the last clusters of
+a family, meet in one task.
 """
 
 from __future__ import annotations
@@ -27,6 +29,10 @@ DIGITS = 12
 TOGETHER = 256 * 255 // 2
 #: Values of the series of one block, and series whose products with a block are held at a time.
 VALUES, TILE = 1 << 20, 256
+#: A family of series is merged to its end in one place once it has at most so many clusters; as a matrix of their series' distances if these have at most so many values, else of rows of pairs.
+CLUSTERS, HELD = 2048, 1 << 22
+#: How many of a cluster's nearest are listed, and entries of a family's lists that meet in one place.
+LISTED, ENTRIES = 64, 1 << 20
 
 
 def _z(values: str) -> Column:
@@ -137,23 +143,238 @@ def _merged(members: DataFrame, now: DataFrame, family: str) -> DataFrame:
     return moved.withColumn("root", F.coalesce("_into", "root")).select(members.columns)
 
 
+def _nearest(one: tuple, two: tuple, same: bool, length: int, most: int) -> list[tuple]:
+    """Of each cluster of the side one, the `most` nearest of the side two (end, d, a, b), in the order of d, a and b."""
+    (names, x, first), (others, y, second), out, begin = one, two, [], 0
+    edges = np.append(first, len(x))
+    while begin < len(names) and len(others):
+        end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + TILE, side="right")) - 1)
+        dots = x[edges[begin] : edges[end]] @ y.T
+        if len(y) > len(others):
+            dots = np.minimum.reduceat(dots, second, axis=1)
+        if len(dots) > end - begin:
+            dots = np.minimum.reduceat(dots, first[begin:end] - first[begin], axis=0)
+        if same:
+            dots[np.arange(end - begin), np.arange(begin, end)] = -np.inf
+        # As many greatest of parts of a row bound its own from below; what rounding makes equal is let in.
+        width = max(1, len(others) // (4 * most))
+        best = np.maximum.reduceat(dots, np.arange(0, len(others), width), axis=1) if width > 1 else dots
+        least = np.partition(best, -most, axis=1)[:, -most] if best.shape[1] > most else np.full(end - begin, -np.inf)
+        i, j = np.nonzero((dots >= (least - 2 * length * 10.0**-DIGITS)[:, None]) & (dots > -np.inf))
+        d = np.round(1 - dots[i, j] / max(1, length), DIGITS) + 0.0
+        i, j = names[begin + i], others[j]
+        low, high = np.minimum(i, j), np.maximum(i, j)
+        order = np.lexsort((high, low, d, i))
+        order = order[_nth(i[order]) < most]
+        out.append((i[order], d[order], low[order], high[order]))
+        begin = end
+    return out
+
+
+def _nth(values: np.ndarray) -> np.ndarray:
+    """Of sorted values, how many equal ones come before each."""
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))[: len(values)]
+    return np.arange(len(values)) - np.repeat(first, np.diff(np.append(first, len(values))))
+
+
+def _listed(family: str):
+    """Of the points of one or two blocks, the nearest other clusters of each cluster, as many as the key says."""
+
+    def run(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
+        points = points.sort_values("root", kind="stable")
+        sides = [_side(points[points["block"] == b], True) for b in key[3:]]
+        same = key[3] == key[4]
+        out = _nearest(sides[0], sides[1], same, key[1], key[2])
+        out += [] if same else _nearest(sides[1], sides[0], same, key[1], key[2])
+        columns = [np.concatenate([o[i] for o in out]) if out else np.zeros(0, np.int64) for i in range(4)]
+        return pd.DataFrame({family: [key[0]] * len(columns[0])} | dict(zip(("end", "d", "a", "b"), columns)))
+
+    return run
+
+
+def _lists(members: DataFrame, counts: DataFrame, family: str) -> DataFrame:
+    """(family, end, d, a, b, nth): the nearest clusters of each, k of the counts (family, k)."""
+    ship(members.sparkSession)
+    kind = members.schema[family].dataType.simpleString()
+    dealt = _blocks(members, family).join(counts.select(family, "k"), family)
+    found = dealt.groupBy(family, "size", "k", "one", "two").applyInPandas(_listed(family), f"{family} {kind}, end long, d double, a long, b long")
+    found = found.withColumn("nth", F.row_number().over(Window.partitionBy(family, "end").orderBy("d", "a", "b")))
+    return found.join(counts.select(family, "k"), family).where("nth <= k").drop("k")
+
+
+def _decided(family: str):
+    """Merges of a family (b not null, step its round) that the lists of its clusters decide, and of each cluster which one it is in then and how far its leaves move on (b null)."""
+
+    def run(key: tuple, lists: pd.DataFrame, sizes: pd.DataFrame) -> pd.DataFrame:
+        names = np.sort(sizes["root"].to_numpy(np.int64))
+        count, lists = len(names), lists.sort_values(["end", "nth"], kind="stable")
+        ends = np.searchsorted(names, lists["end"].to_numpy())
+        low, high, d = np.searchsorted(names, lists["a"].to_numpy()), np.searchsorted(names, lists["b"].to_numpy()), lists["d"].to_numpy()
+        # What a list leaves out comes after its last pair; after a merge it is only known to be no nearer.
+        last = np.flatnonzero(np.append(ends[1:] != ends[:-1], True))[: len(ends)]
+        bound, at_low, at_high = np.full(count, np.inf), np.full(count, count), np.full(count, count)
+        bound[ends[last]], at_low[ends[last]], at_high[ends[last]] = d[last], low[last], high[last]
+        pair, one = np.unique(low * count + high, return_index=True)
+        low, high, d, merges = pair // count, pair % count, d[one], []
+        while len(low):
+            order = np.lexsort((high, low, d))
+            low, high, d = low[order], high[order], d[order]
+            first = np.full(count, len(low))
+            for side in (high, low):
+                np.minimum.at(first, side, np.arange(len(low)))
+            now = (first[low] == np.arange(len(low))) & (first[high] == np.arange(len(low)))
+            for side in (low, high):
+                now &= (d < bound[side]) | (d == bound[side]) & ((low < at_low[side]) | (low == at_low[side]) & (high <= at_high[side]))
+            if not now.any():
+                break
+            a, b = low[now], high[now]
+            merges.append((a, b, d[now]))
+            bound[a], at_low[:] = np.minimum(bound[a], bound[b]), -1
+            into, parts = np.arange(count), np.ones(count, np.int64)
+            into[b], parts[a] = a, 2
+            x, y = into[low], into[high]
+            order = np.flatnonzero(x != y)
+            pair, far = np.minimum(x, y)[order] * count + np.maximum(x, y)[order], d[order]
+            order = np.argsort(pair, kind="stable")
+            pair, far = pair[order], far[order]
+            start = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))[: len(pair)]
+            known = np.diff(np.append(start, len(pair)))
+            d = np.maximum.reduceat(far, start) if len(pair) else far
+            low, high = pair[start] // count, pair[start] % count
+            # A distance is known where those of all parts are.
+            kept = (known == parts[low] * parts[high]) & (d <= np.maximum(bound[low], bound[high]))
+            low, high, d = low[kept], high[kept], d[kept]
+        return _moves(key[0], family, names, sizes, merges)
+
+    return run
+
+
+def _moves(name, family: str, names: np.ndarray, sizes: pd.DataFrame, merges: list[tuple]) -> pd.DataFrame:
+    """Rows of the merges of each step (a, b, height; by index of names), and of where each cluster is then."""
+    size = sizes.set_index("root")["size"].reindex(names).to_numpy().copy()
+    count = [len(a) for a, _, _ in merges]
+    a, b, height = (np.concatenate([m[i] for m in merges]) if merges else np.zeros(0, np.int64) for i in range(3))
+    into, move = np.arange(len(names)), np.zeros(len(names), np.int64)
+    for x, y, _ in merges:
+        move[y] = size[x]
+        size[x] += size[y]
+    # The leaves of b move with those of a from then on.
+    for x, y in zip(a[::-1].tolist(), b[::-1].tolist()):
+        into[y] = into[x]
+        move[y] += move[x]
+    left = len(names) - np.cumsum([0, *count[:-1]])
+    made = pd.DataFrame({"a": names[a], "b": names[b], "height": height.astype(float), "step": np.repeat(np.arange(len(count)), count), "left": np.repeat(left[: len(count)], count), "into": None, "move": None})
+    rows = pd.concat([made.astype(object), pd.DataFrame({"a": names, "into": names[into], "move": move}).astype(object)])
+    rows.insert(0, family, name)
+    return rows.astype({c: "Int64" for c in ("a", "b", "step", "left", "into", "move")} | {"height": float})
+
+
+def _tree(apart: np.ndarray) -> list[tuple]:
+    """The merges of a matrix of distances (infinite on its diagonal), round by round: indexes a and b, height."""
+    index, out = np.arange(len(apart)), []
+    while len(index) > 1:
+        # Of equal distances the first, that of the least keys.
+        near = np.argmin(apart, axis=1)
+        a = np.flatnonzero((near[near] == np.arange(len(near))) & (np.arange(len(near)) < near))
+        b = near[a]
+        out.append((index[a], index[b], apart[a, b]))
+        apart[a] = np.maximum(apart[a], apart[b])
+        apart[:, a] = np.maximum(apart[:, a], apart[:, b])
+        apart[a, a] = np.inf
+        kept = np.delete(np.arange(len(index)), b)
+        apart, index = apart[np.ix_(kept, kept)], index[kept]
+    return out
+
+
+def _whole(family: str):
+    """All merges of a family from its points."""
+
+    def run(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
+        points = points.sort_values("root", kind="stable")
+        names, x, first = _side(points, True)
+        sizes, edges = pd.DataFrame({"root": names, "size": np.diff(np.append(first, len(x)))}), np.append(first, len(x))
+        apart, begin = np.empty((len(names), len(names))), 0
+        while begin < len(names):
+            end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + TILE, side="right")) - 1)
+            dots = np.minimum.reduceat(x[edges[begin] : edges[end]] @ x.T / max(1, x.shape[1]), first, axis=1)
+            apart[begin:end] = np.round(1 - np.minimum.reduceat(dots, first[begin:end] - first[begin], axis=0), DIGITS) + 0.0
+            begin = end
+        np.fill_diagonal(apart, np.inf)
+        return _moves(key[0], family, names, sizes, _tree(np.maximum(apart, apart.T)))
+
+    return run
+
+
+def _paired(family: str):
+    """All merges of a family from its pairs of clusters."""
+
+    def run(key: tuple, pairs: pd.DataFrame, sizes: pd.DataFrame) -> pd.DataFrame:
+        names = np.sort(sizes["root"].to_numpy(np.int64))
+        apart = np.full((len(names), len(names)), np.inf)
+        i, j = np.searchsorted(names, pairs["a"].to_numpy()), np.searchsorted(names, pairs["b"].to_numpy())
+        apart[i, j] = apart[j, i] = pairs["d"]
+        return _moves(key[0], family, names, sizes, _tree(apart))
+
+    return run
+
+
 def linked_series(df: DataFrame, family: str, key: str, values: str) -> tuple[DataFrame, DataFrame]:
-    """linked() of distances(), without their rows: they are made again, block by block, in each round. See reciprocal_series for odd values."""
+    """linked() of distances(), without their rows: they are made again, block by block, in each pass. See reciprocal_series for odd values."""
     points = _points(df, family, key, values).where(F.col("root").isNotNull() & F.col("z").isNotNull())
     # One series for each key, the least where there are several.
     points = points.groupBy(family, "root").agg(F.min("z").alias("z"))
-    members, made, rounds = stored(points.select(family, F.col("root").alias("leaf"), "root", F.lit(0).cast("long").alias("place"), "z")), [], 0
-    clusters_of = lambda m: m.select(family, "root").distinct().groupBy(family).count()
-    while (n := clusters_of(members.where(F.col(family).isNotNull())).agg(F.max("count")).first()[0] or 0) * (n - 1) // 2 > TOGETHER:
-        found = _made(members, family, True, False).select(family, "end", F.struct("d", "a", "b").alias("pair"))
-        now = stored(_mutual(found, family).withColumn("round", F.lit(rounds).cast("long")))
-        if now.isEmpty():
+    members = stored(points.select(family, F.col("root").alias("leaf"), "root", F.lit(0).cast("long").alias("place"), "z"))
+    kind, columns, made, rounds, ready = df.schema[family].dataType.simpleString(), members.columns, [], 0, []
+    rows = f"{family} {kind}, a long, b long, height double, step long, left long, into long, move long"
+    alone, members = members.where(F.col(family).isNull()).drop("z"), members.where(F.col(family).isNotNull())
+    while True:
+        k = F.greatest(F.lit(1), F.least(F.lit(LISTED), F.floor(F.lit(ENTRIES) / F.col("clusters")))).cast("int")
+        sizes = members.groupBy(family, "root").agg(F.count("*").alias("size"), F.sum(F.size("z")).alias("held"), F.min(F.size("z")).alias("low"), F.max(F.size("z")).alias("high"))
+        counts = stored(sizes.groupBy(family).agg(F.count("*").alias("clusters"), F.sum("held").alias("held"), F.min("low").alias("low"), F.max("high").alias("high")).withColumn("k", k))
+        most, uneven = counts.agg(F.max("clusters"), F.bool_or((F.col("low") < F.col("high")) & (F.col("clusters") > 1))).first()
+        if uneven:
             raise ValueError("series of one family differ in length")
-        made.append(now)
-        members = stored(_merged(members, now, family))
-        rounds += 1
-    left = stored(_made(members, family, True, True).select(family, "a", "b", "d"))
-    return _ended(df, family, key, members.drop("z"), left, made, rounds)
+        of = lambda some: members.join(counts.where(some).select(family), family).select(columns)  # noqa: E731, B023
+        ready.append((of(F.col("clusters") <= CLUSTERS), counts))
+        if (most or 0) <= CLUSTERS:
+            break
+        members, counts = of(F.col("clusters") > CLUSTERS), counts.where(F.col("clusters") > CLUSTERS)
+        found = _lists(members, counts if most <= ENTRIES else counts.withColumn("k", F.lit(1)), family)
+        if most > ENTRIES:
+            now = stored(_mutual(found.select(family, "end", F.struct("d", "a", "b").alias("pair")), family).withColumn("round", F.lit(rounds).cast("long")))
+            made.append(now)
+            members, rounds = stored(_merged(members, now, family)), rounds + 1
+            continue
+        sizes = members.groupBy(family, "root").agg(F.count("*").alias("size"))
+        step = stored(found.groupBy(family).cogroup(sizes.groupBy(family)).applyInPandas(_decided(family), rows))
+        made.append(step.where("b is not null").select(family, "a", "b", "height", (F.col("step") + rounds).alias("round")))
+        rounds += step.agg(F.max("step")).first()[0] + 1
+        members = stored(_moved(members, step, family).select(columns))
+    leaves, ended = [alone.select(family, F.col("leaf").alias(key), "place")], []
+    for some, counts in ready:
+        small = lambda x: some.join(counts.where(x).select(family), family)  # noqa: E731, B023
+        ended.append(small(F.col("held") <= HELD).groupBy(family).applyInPandas(_whole(family), rows))
+        large = small(F.col("held") > HELD)
+        if not large.isEmpty():
+            pairs, sizes = _made(large, family, True, True), large.groupBy(family, "root").agg(F.count("*").alias("size"))
+            ended.append(pairs.groupBy(family).cogroup(sizes.groupBy(family)).applyInPandas(_paired(family), rows))
+    ended = stored(reduce(DataFrame.unionByName, ended))
+    leaves += [_moved(some, ended, family).select(family, F.col("leaf").alias(key), "place") for some, _ in ready]
+    # Rounds go on until no family has over TOGETHER pairs left; then one pair merges at a time.
+    merges = ended.where("b is not null")
+    many = merges.where(F.col("left") * (F.col("left") - 1) / 2 > TOGETHER).agg(F.max("step")).first()[0]
+    later = F.col("step") > F.lit(-1 if many is None else many)
+    order = F.row_number().over(Window.partitionBy(family, later).orderBy("height", "a", "b"))
+    step = F.when(later, order + (0 if many is None else many + 1) - 1).otherwise(F.col("step"))
+    made.append(merges.select(family, "a", "b", "height", (step + rounds).cast("long").alias("round")))
+    return reduce(DataFrame.unionByName, leaves), reduce(DataFrame.unionByName, made)
+
+
+def _moved(members: DataFrame, step: DataFrame, family: str) -> DataFrame:
+    """members (family, root, place, ...) after the moves (b null) of a step."""
+    moves = step.where("b is null").select(family, F.col("a").alias("root"), F.col("into").alias("_into"), "move")
+    moved = members.join(moves, [family, "root"])
+    return moved.withColumns({"root": F.col("_into"), "place": F.col("place") + F.col("move")}).drop("_into", "move")
 
 
 def _rest(family: str):
