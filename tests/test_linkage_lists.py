@@ -8,7 +8,7 @@ from tracelake.operators import linkage
 
 @pytest.mark.parametrize("held, listed, entries", [(1 << 22, 4, 1 << 20), (40, 9, 1 << 20), (1 << 22, 64, 3)])
 def test_lists_give_what_rows_give(spark, monkeypatch, held, listed, entries):
-    for name, value in (("VALUES", 300), ("TILE", 7), ("CLUSTERS", 5), ("HELD", held), ("LISTED", listed), ("ENTRIES", entries)):
+    for name, value in (("VALUES", 300), ("TILE", 7), ("CLUSTERS", 5), ("HELD", held), ("LISTED", listed), ("ENTRIES", entries), ("LEVELS", 2)):
         monkeypatch.setattr(linkage, name, value)
     rng = np.random.default_rng(6)
     rows = [(f, int(k), (0.05 * rng.normal(size=8) + [k % 7 == j for j in range(8)]).tolist()) for f, n in ((1, 60), (2, 23), (3, 1), (4, 2)) for k in rng.permutation(1000)[:n]]

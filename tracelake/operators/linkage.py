@@ -11,6 +11,7 @@ a family, meet in one task.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -33,6 +34,8 @@ VALUES, TILE = 1 << 20, 256
 CLUSTERS, HELD = 2048, 1 << 22
 #: How many of a cluster's nearest are listed, and entries of a family's lists that meet in one place.
 LISTED, ENTRIES = 64, 1 << 20
+#: The first so many members of clusters are compared side by side, those beyond cluster by cluster.
+LEVELS = 16
 
 
 def _z(values: str) -> Column:
@@ -143,31 +146,72 @@ def _merged(members: DataFrame, now: DataFrame, family: str) -> DataFrame:
     return moved.withColumn("root", F.coalesce("_into", "root")).select(members.columns)
 
 
-def _nearest(one: tuple, two: tuple, same: bool, length: int, most: int) -> list[tuple]:
-    """Of each cluster of the side one, the `most` nearest of the side two (end, d, a, b), in the order of d, a and b."""
-    (names, x, first), (others, y, second), out, begin = one, two, [], 0
+def _levels(side: tuple) -> tuple[np.ndarray, np.ndarray, list[int], np.ndarray]:
+    """A side's points with the first member of each cluster before the second ones, and so on, clusters of more members before those of fewer.
+
+    Returns the clusters' order, the points, the number of clusters with each member, and where the members of each cluster beyond LEVELS begin.
+    """
+    _, x, first = side
+    size = np.diff(np.append(first, len(x)))
+    order = np.argsort(-size, kind="stable")
+    counts = [int((size > j).sum()) for j in range(min(LEVELS, size.max(initial=0)))]
+    index = [first[order[:c]] + j for j, c in enumerate(counts)]
+    more = order[: int((size > LEVELS).sum())]
+    index += [np.arange(first[i] + LEVELS, first[i] + size[i]) for i in more]
+    return order, x[np.concatenate(index)] if index else x, counts, np.cumsum(np.append(0, size[more] - LEVELS))[:-1]
+
+
+def _least(rows: np.ndarray, levels: tuple) -> np.ndarray:
+    """The least product of each row with each cluster of the levels."""
+    _, y, counts, starts = levels
+    every = rows @ y.T
+    least, at = every[:, : counts[0]], counts[0]
+    for c in counts[1:]:
+        np.minimum(least[:, :c], every[:, at : at + c], out=least[:, :c])
+        at += c
+    if c := len(starts):
+        np.minimum(least[:, :c], np.minimum.reduceat(every[:, at:], starts, axis=1), out=least[:, :c])
+    return least
+
+
+def _tiles(one: tuple, levels: tuple) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For some clusters of the side one at a time, from begin to end: their least products with each cluster of the levels."""
+    (names, x, first), begin = one, 0
     edges = np.append(first, len(x))
-    while begin < len(names) and len(others):
+    while begin < len(names) and len(levels[0]):
         end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + TILE, side="right")) - 1)
-        dots = x[edges[begin] : edges[end]] @ y.T
-        if len(y) > len(others):
-            dots = np.minimum.reduceat(dots, second, axis=1)
-        if len(dots) > end - begin:
-            dots = np.minimum.reduceat(dots, first[begin:end] - first[begin], axis=0)
+        if edges[end] - edges[begin] > TILE:
+            parts = (_least(x[i : min(i + TILE, edges[end])], levels).min(axis=0) for i in range(edges[begin], edges[end], TILE))
+            dots = reduce(np.minimum, parts)[None]
+        else:
+            least, own = _least(x[edges[begin] : edges[end]], levels), edges[begin : end + 1] - edges[begin]
+            dots = least[own[:-1]]
+            for i in np.flatnonzero(np.diff(own) > 1):
+                np.minimum.reduce(least[own[i] : own[i + 1]], axis=0, out=dots[i])
+        yield begin, end, dots
+        begin = end
+
+
+def _nearest(one: tuple, two: tuple, same: bool, length: int, most: int) -> list[tuple]:
+    """Of each cluster of the side one, the `most` nearest of the side two (end, d, a, b), in the order of d, a and b."""
+    names, levels, out = one[0], _levels(two), []
+    others, place = two[0][levels[0]], np.argsort(levels[0])
+    # As many greatest of parts of a row bound its own from below; what rounding makes equal is let in.
+    width = max(1, len(others) // (4 * most))
+    for begin, end, dots in _tiles(one, levels):
         if same:
-            dots[np.arange(end - begin), np.arange(begin, end)] = -np.inf
-        # As many greatest of parts of a row bound its own from below; what rounding makes equal is let in.
-        width = max(1, len(others) // (4 * most))
+            dots[np.arange(end - begin), place[begin:end]] = -np.inf
         best = np.maximum.reduceat(dots, np.arange(0, len(others), width), axis=1) if width > 1 else dots
         least = np.partition(best, -most, axis=1)[:, -most] if best.shape[1] > most else np.full(end - begin, -np.inf)
-        i, j = np.nonzero((dots >= (least - 2 * length * 10.0**-DIGITS)[:, None]) & (dots > -np.inf))
+        at = np.flatnonzero(dots >= (least - 2 * length * 10.0**-DIGITS)[:, None])
+        i, j = np.divmod(at, len(others))
+        i, j = i[found := dots[i, j] > -np.inf], j[found]
         d = np.round(1 - dots[i, j] / max(1, length), DIGITS) + 0.0
         i, j = names[begin + i], others[j]
         low, high = np.minimum(i, j), np.maximum(i, j)
         order = np.lexsort((high, low, d, i))
         order = order[_nth(i[order]) < most]
         out.append((i[order], d[order], low[order], high[order]))
-        begin = end
     return out
 
 
@@ -292,13 +336,10 @@ def _whole(family: str):
     def run(key: tuple, points: pd.DataFrame) -> pd.DataFrame:
         points = points.sort_values("root", kind="stable")
         names, x, first = _side(points, True)
-        sizes, edges = pd.DataFrame({"root": names, "size": np.diff(np.append(first, len(x)))}), np.append(first, len(x))
-        apart, begin = np.empty((len(names), len(names))), 0
-        while begin < len(names):
-            end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + TILE, side="right")) - 1)
-            dots = np.minimum.reduceat(x[edges[begin] : edges[end]] @ x.T / max(1, x.shape[1]), first, axis=1)
-            apart[begin:end] = np.round(1 - np.minimum.reduceat(dots, first[begin:end] - first[begin], axis=0), DIGITS) + 0.0
-            begin = end
+        sizes = pd.DataFrame({"root": names, "size": np.diff(np.append(first, len(x)))})
+        apart, levels = np.empty((len(names), len(names))), _levels((names, x, first))
+        for begin, end, dots in _tiles((names, x, first), levels):
+            apart[begin:end, levels[0]] = np.round(1 - dots / max(1, x.shape[1]), DIGITS) + 0.0
         np.fill_diagonal(apart, np.inf)
         return _moves(key[0], family, names, sizes, _tree(np.maximum(apart, apart.T)))
 
